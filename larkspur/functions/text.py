@@ -54,6 +54,11 @@ def without_stop_words(tokens: Column | str, words: Sequence[str]) -> Column:
     return F.filter(_col(tokens), lambda t: ~t.isin(list(words)))
 
 
+def word_count_columns(tokens: str, words: Sequence[str], prefix: str = "") -> list[Column]:
+    """One count column per listed word."""
+    return [F.size(F.filter(tokens, lambda t: t == F.lit(word))).alias(f"{prefix}{word}") for word in words]
+
+
 def term_counts(df: DataFrame, doc: str, tokens: Column | str) -> DataFrame:
     """Sparse term-document table ``(doc, term, tf)``."""
     return df.select(doc, F.explode(_col(tokens)).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))

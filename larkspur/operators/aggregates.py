@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from larkspur.operators.lookups import lookup_join
+from larkspur.operators.lookups import HOT_KEYS, add_lookup, is_small
 from larkspur.operators.ordered import running_total
 from larkspur.operators.quality import per_column
 
@@ -240,8 +240,11 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     rows = df.select(*cols).dropna()
     ranked = rows
     for c in cols:
-        ranks = average_ranks(rows, c).select(c, F.col("n").alias("__n"), F.col("rank").alias(f"__r_{c}"))
-        ranked = lookup_join(ranked, ranks, c, "__n").drop("__n")
+        ranks = average_ranks(rows, c).withColumnRenamed("rank", f"__r_{c}")
+        if is_small(ranks, HOT_KEYS):
+            ranked = ranked.join(F.broadcast(ranks.drop("n")), c)
+        else:
+            ranked = add_lookup(ranked, ranks, c, f"__r_{c}", "n")
     return pearson_matrix(ranked.select(*[F.col(f"__r_{c}").alias(c) for c in cols]), cols)
 
 

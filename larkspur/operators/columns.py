@@ -106,14 +106,14 @@ def round_columns(df: DataFrame, decimals: int = 2, cols: Sequence[str] | None =
     return df.select(*[F.round(c, decimals).alias(c) if c in chosen else F.col(c) for c in df.columns])
 
 
-def round_vectors(df: DataFrame, cols: Sequence[str] | str, decimals: int = 2) -> DataFrame:
-    """Vector columns as rounded arrays named ``<column>_rounded``."""
+def round_vectors(df: DataFrame, cols: Sequence[str] | str, decimals: int = 2, keep: Sequence[str] = ()) -> DataFrame:
+    """Vector columns as rounded arrays named ``<column>_rounded``, next to the columns of ``keep``."""
     names = [cols] if isinstance(cols, str) else list(cols)
     unknown = [c for c in names if c not in df.columns]
     if unknown:
         raise ValueError(f"no such columns: {unknown}")
     return df.select(
-        *[F.transform(vector_to_array(c), lambda x: F.round(x, decimals)).alias(f"{c}_rounded") for c in names]
+        *keep, *[F.transform(vector_to_array(c), lambda x: F.round(x, decimals)).alias(f"{c}_rounded") for c in names]
     )
 
 

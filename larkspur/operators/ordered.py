@@ -24,7 +24,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-_EDGES, _POINT, _BUCKET, _HALO, _COPY = "__edges", "__point", "__bucket", "__halo", "__copy"
+_BUCKET, _HALO, _COPY = "__bucket", "__halo", "__copy"
 _MAX_SAMPLE = 1_000_000
 
 Build = Callable[[WindowSpec], dict[str, Column]]
@@ -37,39 +37,25 @@ def _bucket_plan(df: DataFrame, buckets: int | None, reach: int) -> tuple[int, i
     return max(1, min(wanted, _MAX_SAMPLE // spacing)), spacing
 
 
-def with_edges(df: DataFrame, order: Sequence[str], before: int, after: int, buckets: int | None) -> tuple[DataFrame, int]:
-    """Add the bucket edges (one small array, same for every row) and the row's point."""
-    wanted, spacing = _bucket_plan(df, buckets, max(before, after))
+def _edges(df: DataFrame, order: Sequence[str], before: int, after: int, wanted: int, spacing: int) -> DataFrame:
+    """One struct of three sorted arrays: where halos start, buckets start, and halos end."""
     keys = df.select(*order)
     n_rows = keys.agg(F.count(F.lit(1)).alias("n")).scalar()
     every = F.greatest(F.lit(1), F.floor(n_rows / F.lit(wanted * spacing))).cast("long")
     sampled = keys.filter(F.pmod(F.xxhash64(*order), every) == 0).select(F.struct(*order).alias("p"))
-    picks = sampled.agg(F.array_sort(F.array_distinct(F.collect_list("p"))).alias("s"))
-    positions = F.when(
-        F.size("s") > 2 * spacing, F.sequence(F.lit(spacing + 1), F.size("s") - spacing + 1, F.lit(spacing))
-    )
-    edges = picks.select(
-        F.transform(
-            positions,
-            lambda i: F.struct(
-                F.element_at("s", (i - before).cast("int")).alias("low"),
-                F.element_at("s", i.cast("int")).alias("at"),
-                F.get("s", (i + after - 1).cast("int")).alias("high"),
-            ),
-        ).alias("e")
-    )
-    steps = max(1, (2 * wanted).bit_length())
-    return df.withColumn(_EDGES, edges.scalar()).withColumn(_POINT, F.struct(*order)), steps
+    picks = sampled.agg(F.sort_array(F.collect_set("p")).alias("s"))
+    at = F.when(F.size("s") > 2 * spacing, F.sequence(F.lit(spacing), F.size("s") - spacing, F.lit(spacing)))
+    pick = lambda shift: F.array_compact(F.transform(at, lambda i: F.get("s", (i + shift).cast("int"))))
+    return picks.select(F.struct(pick(-before).alias("low"), pick(0).alias("at"), pick(after).alias("high")).alias("edges"))
 
 
-def _bucket_of(steps: int) -> Column:
-    """Binary search: how many edges are at or below the row's point."""
+def _at_or_below(name: str, point: Column, steps: int) -> Column:
+    """How many entries of a sorted edge array are at or below ``point``, by binary search."""
     jumps = F.array(*[F.lit(1 << i) for i in reversed(range(steps))])
-    edges, point = F.col(_EDGES), F.col(_POINT)
     return F.aggregate(
         jumps,
         F.lit(0),
-        lambda acc, jump: acc + F.when(F.get(edges, acc + jump - 1)["at"] <= point, jump).otherwise(0),
+        lambda acc, jump: acc + F.when(F.get(F.col(name), acc + jump - 1) <= point, jump).otherwise(0),
     )
 
 
@@ -80,28 +66,34 @@ def range_buckets(
     after: int = 0,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Rows with ``__bucket``; rows near an edge also appear in the neighbour with ``__halo`` true."""
-    edged, steps = with_edges(df, order, before, after, buckets)
-    placed = edged.withColumn(_BUCKET, _bucket_of(steps))
-    if not before and not after:
-        return placed.drop(_EDGES, _POINT).withColumn(_HALO, F.lit(False))
-    bucket, point, edges = F.col(_BUCKET), F.col(_POINT), F.col(_EDGES)
+    """Rows with ``__bucket``; rows near an edge also appear in the neighbour with ``__halo`` true.
+
+    A row belongs to the bucket given by the number of edges at or below it.
+    Counting halo starts instead may give the next bucket, counting halo ends
+    the previous one; the row is copied to every bucket between the two.
+    """
+    wanted, spacing = _bucket_plan(df, buckets, max(before, after))
+    edges = _edges(df, order, before, after, wanted, spacing)
+    point, steps = F.struct(*order), (2 * wanted).bit_length()
 
-    def copy(target: Column, halo: bool) -> Column:
-        return F.struct(target.alias("b"), F.lit(halo).alias("h"))
+    def count(out: DataFrame, array: str, name: str) -> DataFrame:
+        # the array column is used once, so it is read from the subquery and never copied into a row
+        held = out.withColumn(f"__{array}", edges.scalar()[array])
+        return held.withColumn(name, _at_or_below(f"__{array}", point, steps)).drop(f"__{array}")
 
-    copies = [copy(bucket, False)]
-    if before:
-        upper = F.get(edges, bucket)
-        copies.append(F.when(upper["low"] <= point, copy(bucket + 1, True)))
+    placed = count(df, "at", _BUCKET)
+    if not before and not after:
+        return placed.withColumn(_HALO, F.lit(False))
+    first, last = F.col(_BUCKET), F.col(_BUCKET)
     if after:
-        lower = F.get(edges, bucket - 1)
-        copies.append(F.when((bucket > 0) & F.coalesce(point < lower["high"], F.lit(True)), copy(bucket - 1, True)))
+        placed, first = count(placed, "high", "__first"), F.col("__first")
+    if before:
+        placed, last = count(placed, "low", "__last"), F.col("__last")
     return (
-        placed.withColumn(_COPY, F.explode(F.array_compact(F.array(*copies))))
-        .withColumn(_BUCKET, F.col(f"{_COPY}.b"))
-        .withColumn(_HALO, F.col(f"{_COPY}.h"))
-        .drop(_EDGES, _POINT, _COPY)
+        placed.withColumn(_COPY, F.explode(F.sequence(first, last)))
+        .withColumn(_HALO, F.col(_COPY) != F.col(_BUCKET))
+        .withColumn(_BUCKET, F.col(_COPY))
+        .drop(_COPY, "__first", "__last")
     )
 
 

@@ -180,3 +180,10 @@ def label_names(model: PipelineModel, spark) -> DataFrame:
         for i, name in enumerate(stage.labels)
     ]
     return spark.createDataFrame(rows, "column string, index double, label string")
+
+
+def sparse_entries(df: DataFrame, row_id: str, vector: str) -> DataFrame:
+    """Stored entries of a sparse vector column as ``(row, position, value)`` without making it dense."""
+    fields = F.unwrap_udt(F.col(vector))
+    pairs = F.arrays_zip(fields["indices"].alias("position"), fields["values"].alias("value"))
+    return df.select(row_id, F.inline(pairs))
