@@ -23,9 +23,14 @@ def resample_ohlcv(
     keys: Sequence[str] = (),
     period: str = "day",
 ) -> DataFrame:
-    """Open, high, low, close and volume per period; ``tie`` orders rows of equal time."""
+    """Open, high, low, close and volume per period; ``tie`` orders rows of equal time.
+
+    The period starts in ``date``, or in ``ts`` for periods shorter than a day.
+    """
     when = F.struct(ts, tie)
-    return df.groupBy(*keys, F.date_trunc(period, F.col(ts)).cast("date").alias("date")).agg(
+    start = F.date_trunc(period, F.col(ts))
+    within_day = period in ("hour", "minute", "second")
+    return df.groupBy(*keys, start.alias("ts") if within_day else start.cast("date").alias("date")).agg(
         F.min_by(open_, when).alias("open"),
         F.max(high).alias("high"),
         F.min(low).alias("low"),

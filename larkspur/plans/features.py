@@ -183,7 +183,8 @@ def label_names(model: PipelineModel, spark) -> DataFrame:
 
 
 def sparse_entries(df: DataFrame, row_id: str, vector: str) -> DataFrame:
-    """Stored entries of a sparse vector column as ``(row, position, value)`` without making it dense."""
+    """Non-zero entries of a vector column as ``(row, position, value)``; sparse vectors stay sparse."""
     fields = F.unwrap_udt(F.col(vector))
-    pairs = F.arrays_zip(fields["indices"].alias("position"), fields["values"].alias("value"))
-    return df.select(row_id, F.inline(pairs))
+    positions = F.coalesce(fields["indices"], F.sequence(F.lit(0), F.size(fields["values"]) - 1))
+    pairs = F.arrays_zip(positions.alias("position"), fields["values"].alias("value"))
+    return df.select(row_id, F.inline(pairs)).filter(F.col("value") != 0)
