@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from larkspur.operators.lookups import HOT_KEYS, add_lookup, is_small
+from larkspur.operators.lookups import HOT_KEYS, add_lookup
 from larkspur.operators.ordered import running_total
 from larkspur.operators.quality import per_column
 
@@ -176,7 +177,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
     bucket, so no task holds a whole column the way ``percentile`` would.
     """
     counted = group_count(_long_values(df, cols), "column", "value")
-    ranked = running_total(counted, {"upto": F.col("n")}, ["value"], ["column"])
+    # ordering by (value, n) is ordering by value; naming n lets every reader share one shuffle of the counts
+    ranked = running_total(counted, {"upto": F.col("n")}, ["value", "n"], ["column"], size_of=df)
     sizes = counted.groupBy("column").agg(F.sum("n").alias("size"))
     spots = F.array(*[F.struct(F.lit(float(p)).alias("prob"), (F.lit(float(p)) * (F.col("size") - 1)).alias("at")) for p in probs])
     wanted = F.broadcast(sizes.select("column", spots.alias("spots")))
@@ -228,24 +230,34 @@ def _matrix_to_long(row: DataFrame, cols: Sequence[str]) -> DataFrame:
     return row.sparkSession.createDataFrame(cells, "a string, b string, corr double")
 
 
-def average_ranks(df: DataFrame, col: str) -> DataFrame:
-    """Distinct values with their row count ``n`` and average 1-based rank ``rank``."""
-    counted = group_count(df.filter(F.col(col).isNotNull()), col)
-    ranked = running_total(counted, {"upto": F.col("n")}, [col])
-    return ranked.select(col, "n", (F.col("upto") - (F.col("n") - 1) / F.lit(2.0)).alias("rank"))
+def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, value, n, rank)``: distinct values, their row count and average 1-based rank."""
+    counted = group_count(_long_values(df, cols), "column", "value")
+    ranked = running_total(counted, {"upto": F.col("n")}, ["value", "n"], ["column"], size_of=df)
+    return ranked.select("column", "value", "n", (F.col("upto") - (F.col("n") - 1) / F.lit(2.0)).alias("rank"))
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Spearman correlation: Pearson over average ranks, for rows where every column is present."""
-    rows = df.select(*cols).dropna()
-    ranked = rows
-    for c in cols:
-        ranks = average_ranks(rows, c).withColumnRenamed("rank", f"__r_{c}")
-        if is_small(ranks, HOT_KEYS):
-            ranked = ranked.join(F.broadcast(ranks.drop("n")), c)
-        else:
-            ranked = add_lookup(ranked, ranks, c, f"__r_{c}", "n")
-    return pearson_matrix(ranked.select(*[F.col(f"__r_{c}").alias(c) for c in cols]), cols)
+    """Spearman correlation: Pearson over average ranks, for rows where every column is present.
+
+    Ranks are computed once for all columns.  Columns with few distinct values
+    are joined by broadcast, the others by a lookup that spreads heavy values.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    ranks = average_ranks(rows, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        distinct = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
+        ranked = rows
+        for c in cols:
+            of_c = ranks.filter(F.col("column") == c).select(F.col("value").alias(c), "n", F.col("rank").alias(f"__r_{c}"))
+            if distinct.get(c, 0) <= HOT_KEYS:
+                ranked = ranked.join(F.broadcast(of_c.drop("n")), c)
+            else:
+                ranked = add_lookup(ranked, of_c, c, f"__r_{c}", "n")
+        cells = pearson_matrix(ranked.select(*[F.col(f"__r_{c}").alias(c) for c in cols]), cols).collect()
+    finally:
+        ranks.unpersist()
+    return df.sparkSession.createDataFrame(cells, "a string, b string, corr double")
 
 
 def contingency(df: DataFrame, rows: str, cols: str, values: Sequence[object]) -> DataFrame:

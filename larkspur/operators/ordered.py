@@ -5,8 +5,8 @@
 rows.  Here the total order ``(keys, order columns)`` is cut into contiguous
 range buckets of similar size, so one long series spans many tasks:
 
-* bucket edges come from a hash sample of the order columns, read through a
-  scalar subquery, so nothing travels through the driver;
+* bucket edges come from a hash sample of the order columns.  The sample has a
+  fixed size, whatever the table's, and the edges become a literal of the plan;
 * an edge is placed every ``spacing`` sampled rows.  Between two edges there
   are at least ``spacing`` rows, and the row ``k`` samples before an edge has
   at least ``k`` rows between itself and the edge.  That makes it a safe start
@@ -21,41 +21,57 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 _BUCKET, _HALO, _COPY = "__bucket", "__halo", "__copy"
 _MAX_SAMPLE = 1_000_000
+_ONE_BUCKET = 4096  # a table of so few rows is one bucket
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 Build = Callable[[WindowSpec], dict[str, Column]]
 
 
-def _bucket_plan(df: DataFrame, buckets: int | None, reach: int) -> tuple[int, int]:
-    spark = df.sparkSession
-    wanted = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spacing = max(32, min(16 * reach, max(4 * reach, _MAX_SAMPLE // wanted)))
-    return max(1, min(wanted, _MAX_SAMPLE // spacing)), spacing
+class Edges(NamedTuple):
+    """Sorted literal arrays: where halos start, buckets start, and halos end."""
+
+    n: int
+    low: Column
+    at: Column
+    high: Column
 
 
-def _edges(df: DataFrame, order: Sequence[str], before: int, after: int, wanted: int, spacing: int) -> DataFrame:
-    """One struct of three sorted arrays: where halos start, buckets start, and halos end."""
-    keys = df.select(*order)
-    n_rows = keys.agg(F.count(F.lit(1)).alias("n")).scalar()
-    every = F.greatest(F.lit(1), F.floor(n_rows / F.lit(wanted * spacing))).cast("long")
-    sampled = keys.filter(F.pmod(F.xxhash64(*order), every) == 0).select(F.struct(*order).alias("p"))
-    picks = sampled.agg(F.sort_array(F.collect_set("p")).alias("s"))
+def _sampled_edges(
+    df: DataFrame, order: Sequence[str], before: int, after: int, buckets: int | None, size_of: DataFrame | None
+) -> Edges | None:
+    """Edges of about ``buckets`` ranges, or None when one bucket is enough."""
+    keys, reach = df.select(*order), max(before, after)
+    n_rows = (size_of if size_of is not None else keys).count()
+    if buckets is None and n_rows <= _ONE_BUCKET:
+        return None
+    wanted = buckets or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spacing = max(32, min(16 * reach, max(4 * reach, _MAX_SAMPLE // wanted)))
+    wanted = max(1, min(wanted, _MAX_SAMPLE // spacing))
+    every = max(1, n_rows // (wanted * spacing))
+    sampled = keys.filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).select(F.struct(*order).alias("p"))
     at = F.when(F.size("s") > 2 * spacing, F.sequence(F.lit(spacing), F.size("s") - spacing, F.lit(spacing)))
     pick = lambda shift: F.array_compact(F.transform(at, lambda i: F.get("s", (i + shift).cast("int"))))
-    return picks.select(F.struct(pick(-before).alias("low"), pick(0).alias("at"), pick(after).alias("high")).alias("edges"))
+    edges = sampled.agg(F.sort_array(F.collect_set("p")).alias("s")).select(
+        F.struct(pick(-before).alias("low"), pick(0).alias("at"), pick(after).alias("high")).alias("edges"), F.size(at).alias("n")
+    )
+    found = edges.select(F.to_json("edges", _EXACT), "n").first()
+    if not found[1] or found[1] < 1:
+        return None
+    literal = F.from_json(F.lit(found[0]), edges.schema["edges"].dataType, _EXACT)
+    return Edges(found[1], literal["low"], literal["at"], literal["high"])
 
 
-def _at_or_below(name: str, point: Column, steps: int) -> Column:
+def _at_or_below(edges: Edges, array: Column, point: Column) -> Column:
     """How many entries of a sorted edge array are at or below ``point``, by binary search."""
-    jumps = F.array(*[F.lit(1 << i) for i in reversed(range(steps))])
+    jumps = F.array(*[F.lit(1 << i) for i in reversed(range(edges.n.bit_length()))])
     return F.aggregate(
-        jumps,
-        F.lit(0),
-        lambda acc, jump: acc + F.when(F.get(F.col(name), acc + jump - 1) <= point, jump).otherwise(0),
+        jumps, F.lit(0), lambda acc, jump: acc + F.when(F.get(array, acc + jump - 1) <= point, jump).otherwise(0)
     )
 
 
@@ -65,35 +81,29 @@ def range_buckets(
     before: int = 0,
     after: int = 0,
     buckets: int | None = None,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with ``__bucket``; rows near an edge also appear in the neighbour with ``__halo`` true.
 
     A row belongs to the bucket given by the number of edges at or below it.
     Counting halo starts instead may give the next bucket, counting halo ends
     the previous one; the row is copied to every bucket between the two.
+    ``size_of`` is a frame with at least as many rows that is cheaper to count.
     """
-    wanted, spacing = _bucket_plan(df, buckets, max(before, after))
-    edges = _edges(df, order, before, after, wanted, spacing)
-    point, steps = F.struct(*order), (2 * wanted).bit_length()
-
-    def count(out: DataFrame, array: str, name: str) -> DataFrame:
-        # the array column is used once, so it is read from the subquery and never copied into a row
-        held = out.withColumn(f"__{array}", edges.scalar()[array])
-        return held.withColumn(name, _at_or_below(f"__{array}", point, steps)).drop(f"__{array}")
-
-    placed = count(df, "at", _BUCKET)
+    edges = _sampled_edges(df, order, before, after, buckets, size_of)
+    if edges is None:
+        return df.withColumns({_BUCKET: F.lit(0), _HALO: F.lit(False)})
+    point = F.struct(*order)
+    placed = df.withColumn(_BUCKET, _at_or_below(edges, edges.at, point))
     if not before and not after:
         return placed.withColumn(_HALO, F.lit(False))
-    first, last = F.col(_BUCKET), F.col(_BUCKET)
-    if after:
-        placed, first = count(placed, "high", "__first"), F.col("__first")
-    if before:
-        placed, last = count(placed, "low", "__last"), F.col("__last")
+    first = _at_or_below(edges, edges.high, point) if after else F.col(_BUCKET)
+    last = _at_or_below(edges, edges.low, point) if before else F.col(_BUCKET)
     return (
         placed.withColumn(_COPY, F.explode(F.sequence(first, last)))
         .withColumn(_HALO, F.col(_COPY) != F.col(_BUCKET))
         .withColumn(_BUCKET, F.col(_COPY))
-        .drop(_COPY, "__first", "__last")
+        .drop(_COPY)
     )
 
 
@@ -127,6 +137,7 @@ def running_total(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     buckets: int | None = None,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add inclusive running sums ``{name: value column}`` over the whole order.
 
@@ -135,7 +146,7 @@ def running_total(
     have at most one row per bucket and are small enough to broadcast.
     """
     keys = list(partition_by)
-    placed = range_buckets(df, [*keys, *order_by], buckets=buckets).drop(_HALO)
+    placed = range_buckets(df, [*keys, *order_by], buckets=buckets, size_of=size_of).drop(_HALO)
     values = {n: (F.col(c) if isinstance(c, str) else c) for n, c in sums.items()}
     totals = placed.groupBy(_BUCKET, *keys).agg(*[F.sum(v).alias(f"__t_{n}") for n, v in values.items()])
     earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
