@@ -65,9 +65,9 @@ def term_counts(df: DataFrame, doc: str, tokens: Column | str) -> DataFrame:
 
 
 def document_frequency(counts: DataFrame, documents: DataFrame) -> DataFrame:
-    """Documents per term and the smoothed weight ln((N + 1) / (df + 1))."""
+    """Documents and uses per term, and the smoothed weight ln((N + 1) / (df + 1))."""
     n_docs = documents.agg(F.count(F.lit(1))).scalar()
-    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn(
+    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("uses")).withColumn(
         "idf", F.log((n_docs + 1).cast("double") / (F.col("df") + 1))
     )
 
@@ -78,7 +78,7 @@ def tf_idf(df: DataFrame, doc: str, tokens: Column | str) -> DataFrame:
     The most frequent terms are joined by broadcast, since they hold most rows.
     """
     counts = term_counts(df, doc, tokens)
-    joined = lookup_join(counts, document_frequency(counts, df), "term", "df")
+    joined = lookup_join(counts, document_frequency(counts, df), "term", "uses")
     return joined.withColumn("tfidf", F.col("tf") * F.col("idf")).select(doc, "term", "tf", "df", "idf", "tfidf")
 
 
