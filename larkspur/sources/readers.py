@@ -29,7 +29,10 @@ def read_tsv(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
 def read_corpus(
     spark: SparkSession, root: str, splits: Sequence[str], labels: Mapping[str, float]
 ) -> DataFrame:
-    """One row per file under ``root/<split>/<class>/*.txt`` with path, text, split, class and label."""
+    """One row per file under ``root/<split>/<class>/*.txt`` with path, text, split, class and label.
+
+    Spark's file sources give no row for a file of zero bytes.
+    """
     paths = [f"{root}/{s}/{c}/*.txt" for s in splits for c in labels]
     path = F.col("_metadata.file_path")
     part = lambda i: F.element_at(F.split(path, "/"), -i)
