@@ -52,12 +52,14 @@ def linreg_family(spark, sf):
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), "l_quantity", "l_discount", "l_tax", "l_extendedprice"
     )
     train, test = X.hash_split(rows, "id", 70)
-    prepare = [G.assembler(["l_quantity", "l_discount", "l_tax"], "raw"), G.scaler("raw", "features")]
+    target = "l_extendedprice"
+    prepared = Pipeline(stages=[G.assembler(["l_quantity", "l_discount", "l_tax"], "raw"), G.scaler("raw", "features")]).fit(train)
+    ready = lambda part: prepared.transform(part).select("features", target)
     scores = []
-    with M.held(train) as fitted, M.held(test) as judged:
+    with M.held(ready(train)) as fitted:
         for kind in ("ordinary", "lasso", "ridge"):
-            _, scored, _ = M.fit_and_score([*prepare, M.linear("l_extendedprice", kind=kind)], fitted, judged)
-            metrics = E.regression_metrics(scored, "l_extendedprice", "prediction").first().asDict()
+            scored = M.linear(target, kind=kind).fit(fitted).transform(ready(test))
+            metrics = E.regression_metrics(scored, target, "prediction").first().asDict()
             scores.append(M.metric_row(spark, kind, **metrics))
     return E.comparison(scores)
 
@@ -89,7 +91,7 @@ def forecast(spark, sf):
 
 
 def _texts(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", T.clean_text("text").alias("text"), "lang")
+    rows = X.widen(table(spark, sf, "documents"), "doc_id").select("doc_id", T.clean_text("text").alias("text"), "lang")
     return rows.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
 
 
@@ -148,7 +150,7 @@ _BAYES = f"""WITH w AS (SELECT doc_id, quality AS label, unnest({_WORDS}) AS ter
 
 def _bayes_weights(spark, sf, kind):
     """(label, term, weight): the fitted log probability of each term in each class."""
-    rows = table(spark, sf, "documents").select("doc_id", T.word_tokens("text").alias("words")).join(table(spark, sf, "labels"), "doc_id")
+    rows = X.widen(table(spark, sf, "documents"), "doc_id").select("doc_id", T.word_tokens("text").alias("words")).join(table(spark, sf, "labels"), "doc_id")
     rows = rows.withColumn("label", F.col("quality").cast("double"))
     counts = CountVectorizer(inputCol="words", outputCol="counts", minDF=30.0, vocabSize=1 << 18)
     stages = [counts, G.presence("counts", "features")] if kind == "bernoulli" else [counts.setOutputCol("features")]
@@ -169,7 +171,7 @@ def naive_bayes_bernoulli(spark, sf):
 
 
 def _points(spark, sf):
-    return table(spark, sf, "embeddings").select(
+    return X.widen(table(spark, sf, "embeddings"), "vec_id").select(
         "vec_id", array_to_vector("embedding").alias("features"), F.col("label").cast("double").alias("label")
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from larkspur.catalog.registry import query, r6, rounded
 from larkspur.functions import text as T
 from larkspur.functions.stem import porter_steps, stem_token
+from larkspur.operators.sampling import widen
 from larkspur.plans import features as G
 from larkspur.sources.readers import table
 
@@ -29,7 +30,7 @@ _STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents")
+    return widen(table(spark, sf, "documents"), "doc_id")
 
 
 _CLEAN = r"trim(regexp_replace(regexp_replace({t}, '[^a-z\s]', ' ', 'g'), '\s+', ' ', 'g'))"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
@@ -170,28 +172,97 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Linear-interpolated exact quantiles in long form ``(column, prob, quantile)``.
+class _Span(NamedTuple):
+    """An open interval of one column's values: ``inside`` rows, with ``below`` rows at or under ``low``."""
+
+    column: str
+    low: float | None
+    high: float | None
+    below: int
+    inside: int
+
+    def holds(self) -> Column:
+        c = F.col(self.column)
+        above = c.isNotNull() if self.low is None else c > F.lit(self.low)
+        return above if self.high is None else above & (c < F.lit(self.high))
+
 
-    Counts per distinct value are combined map-side and accumulated by range
-    bucket, so no task holds a whole column the way ``percentile`` would.
+def _shrink(values: DataFrame, wide: dict[tuple[str, int], _Span], accuracy: int) -> dict[tuple[str, int], _Span | float]:
+    """For each wanted rank, its value or a span of about ``4 / accuracy`` of the rows; two passes over the columns.
+
+    A sketch proposes two values around the rank; exact counts then say on which
+    side of them, on which of them, or between them the rank lies.
     """
-    counted = group_count(_long_values(df, cols), "column", "value")
-    # ordering by (value, n) is ordering by value; naming n lets every reader share one shuffle of the counts
-    ranked = running_total(counted, {"upto": F.col("n")}, ["value", "n"], ["column"], size_of=df)
-    sizes = counted.groupBy("column").agg(F.sum("n").alias("size"))
-    spots = F.array(*[F.struct(F.lit(float(p)).alias("prob"), (F.lit(float(p)) * (F.col("size") - 1)).alias("at")) for p in probs])
-    wanted = F.broadcast(sizes.select("column", spots.alias("spots")))
-    below, upto = F.col("upto") - F.col("n"), F.col("upto")
-    holds = lambda r: (below <= r) & (r < upto)
-    hits = ranked.join(wanted, "column").select(
-        "column", "value", "n", "upto",
-        F.explode(F.filter("spots", lambda s: holds(F.floor(s["at"])) | holds(F.ceil(s["at"])))).alias("spot"),
+    targets, sketches, margin = list(wide), [], 2 / accuracy
+    for i, t in enumerate(targets):
+        span = wide[t]
+        p = (t[1] - span.below) / max(span.inside - 1, 1)
+        ends = F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
+        sketches.append(F.percentile_approx(F.when(span.holds(), F.col(span.column)), ends, F.lit(accuracy)).alias(f"g{i}"))
+    guess = values.agg(*sketches).first()
+    counts = []
+    for i, t in enumerate(targets):
+        inside, c, (lo, hi) = wide[t].holds(), F.col(t[0]), guess[f"g{i}"]
+        parts = (inside & (c < F.lit(lo)), c == F.lit(lo), (c > F.lit(lo)) & (c < F.lit(hi)), (c == F.lit(hi)) & F.lit(hi != lo))
+        counts.append(F.array(*[F.count_if(part) for part in parts]).alias(f"n{i}"))
+    sizes = values.agg(*counts).first()
+    out: dict[tuple[str, int], _Span | float] = {}
+    for i, t in enumerate(targets):
+        span, (lo, hi), (under, on_lo, between, on_hi) = wide[t], guess[f"g{i}"], sizes[f"n{i}"]
+        rank = t[1] - span.below
+        upto_hi = under + on_lo + between + on_hi
+        if rank < under:
+            out[t] = span._replace(high=lo, inside=under)
+        elif rank < under + on_lo:
+            out[t] = lo
+        elif rank < under + on_lo + between:
+            out[t] = span._replace(low=lo, high=hi, below=span.below + under + on_lo, inside=between)
+        elif rank < upto_hi:
+            out[t] = hi
+        else:
+            out[t] = span._replace(low=hi, below=span.below + upto_hi, inside=span.inside - upto_hi)
+    return out
+
+
+def _read_ranks(values: DataFrame, narrow: dict[tuple[str, int], _Span]) -> dict[tuple[str, int], float]:
+    """Values at ranks inside small spans; only the rows of those spans are shuffled."""
+    spans = list(dict.fromkeys(narrow.values()))
+    wanted = [sorted({t[1] - s.below for t in narrow if narrow[t] == s}) for s in spans]
+    tagged = F.array(*[F.when(s.holds(), F.struct(F.lit(i).alias("span"), F.col(s.column).alias("value"))) for i, s in enumerate(spans)])
+    counted = values.select(F.inline(F.array_compact(tagged))).groupBy("span", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("span").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    ranks = F.array(*[F.array(*[F.lit(r).cast("long") for r in w]) for w in wanted])[F.col("span")]
+    hits = counted.withColumn("upto", upto).select(
+        "span", "value", F.explode(F.filter(ranks, lambda r: (F.col("upto") - F.col("n") <= r) & (r < F.col("upto")))).alias("rank")
     )
-    low = F.max(F.when(holds(F.floor("spot.at")), F.col("value")))
-    high = F.max(F.when(holds(F.ceil("spot.at")), F.col("value")))
-    part = F.max(F.col("spot.at") - F.floor("spot.at"))
-    return hits.groupBy("column", F.col("spot.prob").alias("prob")).agg((low + (high - low) * part).alias("quantile"))
+    found = {(r["span"], r["rank"]): r["value"] for r in hits.collect()}  # one row per wanted rank
+    return {t: found[spans.index(s), t[1] - s.below] for t, s in narrow.items()}
+
+
+def exact_quantiles(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), accuracy: int = 10_000, keep: int = 1_000_000
+) -> DataFrame:
+    """Linear-interpolated exact quantiles in long form ``(column, prob, quantile)``.
+
+    ``percentile`` would hold a whole column in one task.  Here bounded sketches
+    and exact counts close in on each rank until at most ``keep`` rows remain
+    around it, and only those rows are shuffled and ranked.
+    """
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    sizes = values.agg(*[F.count(c).alias(c) for c in cols]).first()
+    places = {(c, float(p)): float(p) * (sizes[c] - 1) for c in cols for p in probs if sizes[c]}
+    pending: dict[tuple[str, int], _Span | float] = {
+        (c, r): _Span(c, None, None, 0, sizes[c]) for (c, _), at in places.items() for r in (math.floor(at), math.ceil(at))
+    }
+    while wide := {t: s for t, s in pending.items() if isinstance(s, _Span) and s.inside > keep}:
+        pending |= _shrink(values, wide, accuracy)
+    if narrow := {t: s for t, s in pending.items() if isinstance(s, _Span)}:
+        pending |= _read_ranks(values, narrow)
+    rows = []
+    for (c, p), at in places.items():
+        low, high = pending[c, math.floor(at)], pending[c, math.ceil(at)]
+        rows.append((c, p, low + (high - low) * (at - math.floor(at))))
+    return df.sparkSession.createDataFrame(rows, "column string, prob double, quantile double")
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5) -> DataFrame:

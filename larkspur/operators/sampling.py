@@ -58,3 +58,13 @@ def union_positional(first: DataFrame, second: DataFrame) -> DataFrame:
 def spread(df: DataFrame, n: int, *cols: str) -> DataFrame:
     """Repartition into ``n`` parts, by columns when given."""
     return df.repartition(n, *cols)
+
+
+def widen(df: DataFrame, *cols: str) -> DataFrame:
+    """Spread a frame by ``cols`` when its input has fewer splits than the session has cores.
+
+    A large table has many splits and is left alone; a small file with heavy
+    rows would otherwise keep all the work in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *cols)

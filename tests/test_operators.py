@@ -150,6 +150,17 @@ def test_exact_quantiles(spark, n):
         assert got[p] == pytest.approx(np.quantile(values, p))
 
 
+@pytest.mark.parametrize("share", [0.0, 0.34, 0.9])
+def test_exact_quantiles_narrow_their_brackets(spark, share):
+    rnd = np.random.default_rng(1)
+    values = [7.0 if rnd.random() < share else float(rnd.normal(7.0)) for _ in range(20_000)]
+    probs = [0.0, 0.001, 0.25, 0.5, 0.77, 0.999, 1.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").union(spark.createDataFrame([(None,)] * 5, "v double"))
+    got = {r["prob"]: r["quantile"] for r in A.exact_quantiles(df, ["v"], probs, accuracy=200, keep=500).collect()}
+    for p in probs:
+        assert got[p] == pytest.approx(np.quantile(values, p))
+
+
 def test_box_stats_counts_outliers(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 100]], "v double")
     row = A.box_stats(df, ["v"]).first()
