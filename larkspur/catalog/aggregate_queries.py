@@ -17,9 +17,10 @@ def table_size(spark, sf):
     return A.table_size(table(spark, sf, "lineitem")).drop("n_partitions").withColumn("n_rows", F.col("n_rows").cast("bigint"))
 
 
-@query("A1")
+@query("A1 X3", "SELECT count(*) AS n_rows, 16::bigint AS n_partitions FROM lineitem")
 def partition_count(spark, sf):
-    return A.table_size(table(spark, sf, "lineitem").repartition(16)).select("n_rows", "n_partitions")
+    sizes = A.table_size(table(spark, sf, "lineitem").repartition(16))
+    return sizes.select(F.col("n_rows").cast("bigint").alias("n_rows"), "n_partitions")
 
 
 @query("A2", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")

@@ -45,6 +45,23 @@ def linreg_two(spark, sf):
     return M.coefficients(M.linear("l_extendedprice").fit(rows), names, spark).withColumn("value", F.round("value", 3))
 
 
+_PENALISED = """WITH s AS (SELECT corr(l_extendedprice, l_quantity) AS r, stddev_pop(l_extendedprice) AS sy, stddev_pop(l_quantity) AS sx,
+       avg(l_extendedprice) AS my, avg(l_quantity) AS mx FROM lineitem),
+   b AS (SELECT 'ridge' AS kind, r / (1 + 5000 / sy) * sy / sx AS b, my, mx FROM s UNION ALL SELECT 'lasso', greatest(r - 5000 / sy, 0) * sy / sx, my, mx FROM s)
+   SELECT kind, round(b, 1) AS slope, round(my - b * mx, 0) AS intercept FROM b"""
+
+
+@query("M2 M3 M19", _PENALISED)
+def penalised_lines(spark, sf):
+    """With one feature a ridge slope is shrunk and a lasso slope cut by a known amount."""
+    rows = G.assembler(["l_quantity"]).transform(table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice"))
+    with M.held(rows.select("features", "l_extendedprice")) as kept:
+        lines = [(k, M.linear("l_extendedprice", kind=k, strength=5000.0).fit(kept)) for k in ("ridge", "lasso")]
+    found = [(k, float(m.coefficients[0]), float(m.intercept)) for k, m in lines]
+    out = spark.createDataFrame(found, "kind string, slope double, intercept double")
+    return out.select("kind", F.round("slope", 1).alias("slope"), F.round("intercept", 0).alias("intercept"))
+
+
 @query("M1 M2 M3 E1 E13 G1 G2 X4")
 def linreg_family(spark, sf):
     """Ordinary, lasso and ridge regression on one hash split, compared by error."""

@@ -86,7 +86,7 @@ def pandas_rows(spark, sf):
 
 
 @query("S12 M1", "SELECT count(*) AS n_rows, 0::bigint AS n_changed FROM lineitem")
-def pipeline_roundtrip(spark, sf):
+def stages_roundtrip(spark, sf):
     """An unfitted pipeline gives the same predictions after being saved and loaded."""
     rows = S.table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_extendedprice")
     stages = [G.assembler(["l_quantity", "l_discount"], "features"), M.linear("l_extendedprice")]

@@ -182,10 +182,18 @@ def gathered_tokens(spark, sf):
     return back.select("doc_id", F.size("tokens").alias("tokens"), F.md5(F.array_join("tokens", " ")).alias("joined"))
 
 
-@query("T9")
+_COUNTED = ["the", "and", "le", "la", "der", "und", "el", "que"]
+
+
+@query(
+    "T9",
+    "WITH c AS (SELECT doc_id, " + ", ".join(f"len(list_filter(w, lambda t: t = '{w}')) AS n_{w}" for w in _COUNTED) + f" FROM (SELECT doc_id, {_WORDS} AS w FROM documents)), "
+    "d AS (SELECT count(*) AS n, " + ", ".join(f"count(*) FILTER (n_{w} > 0) AS d_{w}" for w in _COUNTED) + " FROM c) "
+    "SELECT doc_id, " + ", ".join(f"round(n_{w} * ln((n + 1)::double / (d_{w} + 1)), 6) AS w_{w}" for w in _COUNTED) + " FROM c, d",
+)
 def word_count_tfidf(spark, sf):
     """Document weights over ready-made word-count columns."""
-    words = ["the", "and", "le", "la", "der", "und", "el", "que"]
+    words = _COUNTED
     tokens = T.word_tokens("text")
     rows = documents(spark, sf).select("doc_id", tokens.alias("w")).select("doc_id", *T.word_count_columns("w", words, "n_"))
     names = [f"n_{w}" for w in words]
