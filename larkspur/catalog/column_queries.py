@@ -70,6 +70,7 @@ def cast_columns(spark, sf):
         "o_orderkey", F.floor(F.col("o_totalprice") + 0.5).alias("whole"), F.col("o_orderpriority").alias("bad"),
         C.epoch_to_timestamp(F.lit(1325376000) + F.col("o_orderkey") * 60).cast("timestamp_ntz").alias("at"),
     )
+    orders = orders.withColumn("at", F.convert_timezone(None, F.lit("UTC"), "at"))
     return C.cast_columns(orders, {"whole": "bigint", "bad": "double"})
 
 

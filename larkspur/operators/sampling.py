@@ -61,7 +61,7 @@ def spread(df: DataFrame, n: int, *cols: str) -> DataFrame:
 
 
 def widen(df: DataFrame, *cols: str) -> DataFrame:
-    """Spread a frame by ``cols`` when its input has fewer splits than the session has cores.
+    """Spread a scanned table by ``cols`` when it has fewer splits than the session has cores.
 
     A large table has many splits and is left alone; a small file with heavy
     rows would otherwise keep all the work in one task.

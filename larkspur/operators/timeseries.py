@@ -28,9 +28,12 @@ def resample_ohlcv(
     The period starts in ``date``, or in ``ts`` for periods shorter than a day.
     """
     when = F.struct(ts, tie)
-    start = F.date_trunc(period, F.col(ts))
-    within_day = period in ("hour", "minute", "second")
-    return df.groupBy(*keys, start.alias("ts") if within_day else start.cast("date").alias("date")).agg(
+    if period in ("hour", "minute", "second"):
+        start = F.date_trunc(period, F.col(ts)).alias("ts")
+    else:
+        day = F.to_date(ts)
+        start = (day if period == "day" else F.trunc(day, period)).alias("date")
+    return df.groupBy(*keys, start).agg(
         F.min_by(open_, when).alias("open"),
         F.max(high).alias("high"),
         F.min(low).alias("low"),
