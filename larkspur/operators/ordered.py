@@ -146,8 +146,12 @@ def running_total(
     have at most one row per bucket and are small enough to broadcast.
     """
     keys = list(partition_by)
-    placed = range_buckets(df, [*keys, *order_by], buckets=buckets, size_of=size_of).drop(_HALO)
     values = {n: (F.col(c) if isinstance(c, str) else c) for n, c in sums.items()}
+    edges = _sampled_edges(df, [*keys, *order_by], 0, 0, buckets, size_of)
+    if edges is None:
+        window = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({n: F.sum(v).over(window) for n, v in values.items()})
+    placed = df.withColumn(_BUCKET, _at_or_below(edges, edges.at, F.struct(*keys, *order_by)))
     totals = placed.groupBy(_BUCKET, *keys).agg(*[F.sum(v).alias(f"__t_{n}") for n, v in values.items()])
     earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carried = (

@@ -99,3 +99,9 @@ def test_chronological_split(spark, n, fraction):
 def test_no_single_partition_window_over_the_rows(spark):
     plan = window_columns(skewed(spark), columns, ["ts", "id"], before=9, buckets=8)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_no_nested_loops(spark):
+    for df in (skewed(spark), skewed(spark, 50)):
+        plan = row_numbers(df, ["ts", "id"])._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
