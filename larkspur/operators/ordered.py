@@ -67,12 +67,17 @@ def _sampled_edges(
     return Edges(found[1], literal["low"], literal["at"], literal["high"])
 
 
-def _at_or_below(edges: Edges, array: Column, point: Column) -> Column:
-    """How many entries of a sorted edge array are at or below ``point``, by binary search."""
-    jumps = F.array(*[F.lit(1 << i) for i in reversed(range(edges.n.bit_length()))])
-    return F.aggregate(
-        jumps, F.lit(0), lambda acc, jump: acc + F.when(F.get(array, acc + jump - 1) <= point, jump).otherwise(0)
-    )
+def _with_position(df: DataFrame, edges: Edges, array: Column, order: Sequence[str], name: str) -> DataFrame:
+    """Add how many entries of a sorted edge array are at or below the row, by binary search.
+
+    One projection per step keeps the search in generated code; a higher-order
+    function over the array is interpreted and takes ten times as long.
+    """
+    point = F.struct(*order)
+    df = df.withColumn(name, F.lit(0))
+    for jump in [1 << i for i in reversed(range(edges.n.bit_length()))]:
+        df = df.withColumn(name, F.col(name) + F.when(F.get(array, F.col(name) + (jump - 1)) <= point, jump).otherwise(0))
+    return df
 
 
 def range_buckets(
@@ -93,17 +98,21 @@ def range_buckets(
     edges = _sampled_edges(df, order, before, after, buckets, size_of)
     if edges is None:
         return df.withColumns({_BUCKET: F.lit(0), _HALO: F.lit(False)})
-    point = F.struct(*order)
-    placed = df.withColumn(_BUCKET, _at_or_below(edges, edges.at, point))
+    placed = _with_position(df, edges, edges.at, order, _BUCKET)
     if not before and not after:
         return placed.withColumn(_HALO, F.lit(False))
-    first = _at_or_below(edges, edges.high, point) if after else F.col(_BUCKET)
-    last = _at_or_below(edges, edges.low, point) if before else F.col(_BUCKET)
+    first = last = _BUCKET
+    if after:
+        first = "__first"
+        placed = _with_position(placed, edges, edges.high, order, first)
+    if before:
+        last = "__last"
+        placed = _with_position(placed, edges, edges.low, order, last)
     return (
         placed.withColumn(_COPY, F.explode(F.sequence(first, last)))
         .withColumn(_HALO, F.col(_COPY) != F.col(_BUCKET))
         .withColumn(_BUCKET, F.col(_COPY))
-        .drop(_COPY)
+        .drop(_COPY, "__first", "__last")
     )
 
 
@@ -151,7 +160,7 @@ def running_total(
     if edges is None:
         window = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(v).over(window) for n, v in values.items()})
-    placed = df.withColumn(_BUCKET, _at_or_below(edges, edges.at, F.struct(*keys, *order_by)))
+    placed = _with_position(df, edges, edges.at, [*keys, *order_by], _BUCKET)
     totals = placed.groupBy(_BUCKET, *keys).agg(*[F.sum(v).alias(f"__t_{n}") for n, v in values.items()])
     earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
