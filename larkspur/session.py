@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL: dict[str, str] = {}  # application id -> folder made for it
+_SCRATCH: set[str] = set()
+
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -30,21 +35,35 @@ def local_session(cores: int | str = "*", app: str = "larkspur", **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, read from ``spark.checkpoint.dir``.
 
-    A local master may fall back to a temporary folder; on a cluster an unset
-    folder is an error, because a machine-local path would lose data.
+    A local master may fall back to a temporary folder, deleted when Python
+    exits; on a cluster an unset folder is an error, because a machine-local
+    path would lose data.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="larkspur-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="larkspur-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return _LOCAL[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one written table or model under :func:`shared_dir`."""
-    return f"{shared_dir(spark)}/larkspur/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one written table or model, in this application's folder under :func:`shared_dir`."""
+    folder = f"{shared_dir(spark)}/larkspur/{spark.sparkContext.applicationId}"
+    if folder not in _SCRATCH:
+        _SCRATCH.add(folder)
+        atexit.register(clear_scratch, spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote with :func:`scratch_path`; called when Python exits if the session still runs."""
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/larkspur/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

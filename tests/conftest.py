@@ -8,13 +8,12 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tools")]
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    from larkspur.session import local_session
+def spark():
+    from larkspur.session import clear_scratch, local_session
 
     session = local_session(8, app="tests", **{"spark.sql.shuffle.partitions": "4"})
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
+    clear_scratch(session)
     session.stop()
 
 
