@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.llm.common import table
+from larkspur.llm.pieces import with_decoded, with_piece_ids
 from larkspur.llm.token_files import read_token_files, write_token_files
 from larkspur.session import scratch_path
 
@@ -32,3 +33,15 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "token-files")
     write_token_files(table(spark, folder, "documents"), target, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return read_token_files(spark, target).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op9_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every document with begin and end ids, decoded again; digests of both."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = with_piece_ids(table(spark, folder, "documents").select("doc_id", "text"), model)
+    decoded = with_decoded(encoded.drop("text"), model)
+    return decoded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
