@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.llm.common import table
+from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.pieces import with_decoded, with_piece_ids
 from larkspur.llm.token_files import read_token_files, write_token_files
 from larkspur.session import scratch_path
@@ -45,3 +46,15 @@ def op9_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """Pieces of all documents with the checksum of their ids and their places in sequences of 4096 tokens."""
+    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+@query()
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces packed into as few sequences of 4096 tokens as bin completion finds."""
+    return packed_documents(table(spark, folder, "documents"))
