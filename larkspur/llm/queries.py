@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.llm.chat import format_conversations, read_conversations
 from larkspur.llm.common import table
+from larkspur.llm.language import fit_languages, fold_of, with_language
 from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.pieces import with_decoded, with_piece_ids
 from larkspur.llm.token_files import read_token_files, write_token_files
@@ -91,3 +92,12 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.encode("loss_text", "UTF-8"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query()
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the documents outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    model = fit_languages(docs.filter(fold_of() != 0).select("doc_id", "text", "lang"))
+    rows = docs.select("doc_id", F.coalesce(fold_of() == 0, F.lit(False)).alias("held_out"), "text")
+    return with_language(rows, model).drop("text")
