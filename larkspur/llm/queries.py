@@ -12,6 +12,7 @@ from larkspur.llm.common import table
 from larkspur.llm.language import fit_languages, fold_of, with_language
 from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.pieces import with_decoded, with_piece_ids
+from larkspur.llm.small_world import nearest
 from larkspur.llm.token_files import read_token_files, write_token_files
 from larkspur.session import scratch_path
 
@@ -101,3 +102,9 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = fit_languages(docs.filter(fold_of() != 0).select("doc_id", "text", "lang"))
     rows = docs.select("doc_id", F.coalesce(fold_of() == 0, F.lit(False)).alias("held_out"), "text")
     return with_language(rows, model).drop("text")
+
+
+@query()
+def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth id, from one small-world graph per shard."""
+    return nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
