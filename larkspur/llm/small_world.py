@@ -5,7 +5,8 @@ of one vector share a node that carries its smallest ``k + 1`` ids, more than
 any answer can show.  A task builds the layered graph of a shard (insertion
 with a beam of ``ef_build``, diverse neighbour selection) and stores it as flat
 arrays: per layer the member nodes and a fixed-width neighbour table.  Queries
-travel in blocks to every shard; the shards' answers are merged and ranked by
+travel in blocks of about ``block`` rows to every shard, so a task holds one
+graph and one block; the shards' answers are merged and ranked by
 exact distances of the original vectors.
 
 Defined cases: rows with a null id, a null vector, a null, NaN or infinite
@@ -19,12 +20,10 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larkspur.llm.common import staged, usable_vector
@@ -180,7 +179,7 @@ def usable_rows(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 
 def nearest(
     df: DataFrame, is_query: Column, k: int = 10, id_column: str = "vec_id", vector_column: str = "embedding",
-    shard_rows: int = 5_000, m: int = 16, ef_build: int = 80, ef: int = 96, block: int = 256,
+    shard_rows: int = 5_000, m: int = 16, ef_build: int = 80, ef: int = 96, block: int = 4_096,
 ) -> DataFrame:
     """For every row where ``is_query`` (an expression on ``id``): the ``k`` nearest other rows as ``query_id, rank, vec_id, score``."""
     rows = usable_rows(df, id_column, vector_column)
@@ -202,25 +201,23 @@ def nearest(
 
     queries = rows.filter(is_query)
     blocks = max(1, math.ceil(queries.count() / block))
-    dealt_queries = queries.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("q"))
-    sent = dealt_queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                graph = Graph.unpack(batch.column("graph")[row].as_py())
-                norms = (graph.vectors * graph.vectors).sum(1)
-                ids, ends = (np.frombuffer(batch.column(c)[row].as_py(), "<i8") for c in ("ids", "ends"))
-                out: list[tuple[int, int, float]] = []
-                for query in batch.column("q")[row].as_py():
-                    point = np.array(query["v"])
-                    for node in search_graph(graph, point, k + 1, ef, norms):
-                        score = float(np.sqrt(((graph.vectors[node] - point) ** 2).sum()))
-                        out += [(query["id"], x, score) for x in ids[ends[node - 1] if node else 0 : ends[node]].tolist()]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["query_id", "vec_id", "score"])
-
-    found = sent.join(graphs, "shard").select("graph", "ids", "ends", "q").mapInArrow(search, "query_id long, vec_id long, score double")
+    sent = queries.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    copies = graphs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+
+    def search(points: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int, float]] = []
+        if len(points) and len(stored):
+            graph = Graph.unpack(stored["graph"].iloc[0])
+            norms = (graph.vectors * graph.vectors).sum(1)
+            ids, ends = (np.frombuffer(stored[c].iloc[0], "<i8") for c in ("ids", "ends"))
+            for query, point in zip(points["id"].tolist(), points["v"]):
+                for node in search_graph(graph, point, k + 1, ef, norms):
+                    score = float(np.sqrt(((graph.vectors[node] - point) ** 2).sum()))
+                    out += [(query, x, score) for x in ids[ends[node - 1] if node else 0 : ends[node]].tolist()]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+    key = ["shard", "block"]
+    found = sent.groupBy(*key).cogroup(copies.groupBy(*key)).applyInPandas(search, "query_id long, vec_id long, score double")
     found = found.filter("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
