@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from larkspur.llm.chat import format_conversations, read_conversations
 from larkspur.llm.common import table
 from larkspur.llm.language import fit_languages, fold_of, with_language
+from larkspur.llm.near_vectors import near_vectors
 from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.pieces import with_decoded, with_piece_ids
 from larkspur.llm.small_world import nearest
@@ -108,3 +109,25 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors of every hundredth id, from one small-world graph per shard."""
     return nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query(
+    """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, x -> x <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+    ), reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+    """
+)
+def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, components and kept vectors among vectors of one label with a cosine of 0.98 or more."""
+    return near_vectors(table(spark, folder, "embeddings"))
