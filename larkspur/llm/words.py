@@ -36,6 +36,16 @@ _BYTE_WORDS = re.compile(
 _LOWER_WORDS = re.compile(f"{_CONTRACTIONS}|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 
 
+def _byte_characters() -> dict[int, str]:
+    """The published byte-level alphabet: visible Latin-1 characters stand for themselves, other bytes for 256, 257, ..."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
+
+
 class WordTable(dict):
     """word -> its ids as bytes.  Starts afresh at ``limit`` words; words over 64 characters are not kept."""
 
@@ -65,7 +75,8 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_str(file.decode())
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype(dtype)
-        self.table = WordTable(self._library, self.dtype)
+        self.model = self.tokenizer.model
+        self.table = WordTable(self._merge, self.dtype)
         kind = (type(self.tokenizer.normalizer).__name__, type(self.tokenizer.pre_tokenizer).__name__)
         if kind == ("NoneType", "ByteLevel"):
             self.cut = _BYTE_WORDS.findall
@@ -74,6 +85,10 @@ class TextEncoder:
         else:
             self.cut = None
 
+    def _merge(self, word: str) -> list[int]:
+        """The library's merges of one word, without the cost of offsets and masks."""
+        return [token.id for token in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARACTERS))]
+
     def _library(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
