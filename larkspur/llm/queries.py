@@ -11,6 +11,7 @@ from larkspur.llm.chat import format_conversations, read_conversations
 from larkspur.llm.common import table
 from larkspur.llm.language import fit_languages, fold_of, with_language
 from larkspur.llm.near_vectors import near_vectors
+from larkspur.llm.ngram_join import ngram_components
 from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.pieces import with_decoded, with_piece_ids
 from larkspur.llm.small_world import nearest
@@ -114,9 +115,9 @@ def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     WITH RECURSIVE usable AS (
-        SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
-        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-            AND len(list_filter(embedding, x -> x <> 0)) > 0
+        SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
     ), links AS (
         SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
         WHERE list_cosine_similarity(a.v, b.v) >= 0.98
@@ -131,3 +132,24 @@ def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
 def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Links, components and kept vectors among vectors of one label with a cosine of 0.98 or more."""
     return near_vectors(table(spark, folder, "embeddings"))
+
+
+@query(
+    """
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words
+    ), flat AS (SELECT doc_id, unnest(s) AS g FROM sets),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM pairs JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * shared >= 80 * (len(x.s) + len(y.s) - shared)
+    ), reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, min(reach.b) AS component_id FROM sets JOIN reach ON reach.a = doc_id GROUP BY doc_id, s
+    """
+)
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingle set sizes and components of documents whose 5-word shingles have a Jaccard similarity of 0.8 or more."""
+    return ngram_components(table(spark, folder, "documents"))
