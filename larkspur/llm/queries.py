@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from larkspur.llm.chat import format_conversations, read_conversations
 from larkspur.llm.common import table
+from larkspur.llm.credentials import ACCESS, ASSIGN, ENDPOINT, HEX, OPAQUE, STRONG, USER, find_secrets
 from larkspur.llm.language import fit_languages, fold_of, with_language
 from larkspur.llm.near_vectors import near_vectors
 from larkspur.llm.ngram_join import ngram_components
@@ -153,3 +154,57 @@ def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Shingle set sizes and components of documents whose 5-word shingles have a Jaccard similarity of 0.8 or more."""
     return ngram_components(table(spark, folder, "documents"))
+
+
+_SQL_KINDS = [("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("user", USER), ("endpoint", ENDPOINT), ("opaque", OPAQUE)]
+
+
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _secrets_sql() -> str:
+    found = " UNION ALL ".join(
+        f"SELECT r, {place} AS ord, '{kind}' AS kind, regexp_split_to_array(text, {_sql_text(p)}) AS gaps, regexp_extract_all(text, {_sql_text(p)}) AS hits, "
+        f"regexp_extract_all(text, {_sql_text(p)}, {2 if kind == 'assign' else 0}) AS vals FROM docs WHERE regexp_matches(text, {_sql_text(p)})"
+        for place, (kind, p) in enumerate(_SQL_KINDS)
+    )
+    text = "string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, ord, z)"
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    found AS ({found}),
+    numbered AS (SELECT r, ord, kind, gaps, hits, vals, unnest(range(1, len(hits) + 1)) AS i FROM found),
+    placed AS (
+        SELECT r, ord, kind, hits[i] AS hit, vals[i] AS val,
+            (list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda g: length(g))), 0))::BIGINT AS a
+        FROM numbered
+    ), spans AS (
+        SELECT r, ord, kind, a, a + length(hit) AS z FROM placed
+        WHERE (kind <> 'assign' OR length(val) >= 6)
+            AND (kind <> 'opaque' OR (regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]')))
+    ), base AS (SELECT * FROM spans WHERE ord < 3),
+    parts AS (
+        SELECT * FROM spans s WHERE kind <> 'opaque' OR NOT EXISTS (SELECT 1 FROM base b WHERE b.r = s.r AND b.a < s.z AND s.a < b.z)
+    ), linked AS (
+        SELECT * FROM parts p WHERE ord >= 3 AND EXISTS (
+            SELECT 1 FROM parts q WHERE q.r = p.r AND q.a <= p.z + 200 AND p.a <= q.z + 200
+                AND ((p.kind = 'opaque' AND q.kind IN ('access', 'user')) OR (p.kind IN ('user', 'endpoint') AND q.kind IN ('assign', 'hex', 'opaque'))))
+    ), strong AS (
+        SELECT r, count(*) FILTER (kind = 'assign') AS n1, count(*) FILTER (kind = 'access') AS n2, count(*) FILTER (kind = 'hex') AS n3, {text} AS t FROM base GROUP BY r
+    ), every AS (SELECT r, {text} AS t FROM (SELECT * FROM base UNION ALL SELECT * FROM linked) GROUP BY r)
+    SELECT doc_id, coalesce(n1, 0) AS n_assign, coalesce(n2, 0) AS n_access, coalesce(n3, 0) AS n_hex,
+        sha256(coalesce(strong.t, '')) AS base_sha256, coalesce(every.t, '') AS spans
+    FROM docs LEFT JOIN strong USING (r) LEFT JOIN every USING (r)
+    """
+
+
+def _span_text(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query(_secrets_sql())
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document: strong spans, and weak ones near a complementary part."""
+    found = find_secrets(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in STRONG], F.sha2(F.encode(_span_text("base"), "UTF-8"), 256).alias("base_sha256"), _span_text("spans").alias("spans"))
