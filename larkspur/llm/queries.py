@@ -16,6 +16,7 @@ from larkspur.llm.ngram_join import ngram_components
 from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.pieces import with_decoded, with_piece_ids
 from larkspur.llm.small_world import nearest
+from larkspur.llm.surrogates import replace_entities
 from larkspur.llm.token_files import read_token_files, write_token_files
 from larkspur.session import scratch_path
 
@@ -208,3 +209,12 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = find_secrets(table(spark, folder, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *[count(k) for k in STRONG], F.sha2(F.encode(_span_text("base"), "UTF-8"), 256).alias("base_sha256"), _span_text("spans").alias("spans"))
+
+
+SURROGATE_KEY = "a key for trials; production passes its own"
+
+
+@query()
+def op3_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    return replace_entities(table(spark, folder, "documents").select("doc_id", "text"), SURROGATE_KEY)
