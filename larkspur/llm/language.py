@@ -21,6 +21,7 @@ score.  Rows keep all their other columns, repeated rows are predicted alike.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from larkspur.llm.common import staged
 from larkspur.llm.words import WordTable
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -42,7 +44,8 @@ PENALTY = -7.0  # log10 frequency of what a language never had
 class LanguageModel:
     languages: tuple[str, ...]
     longest: int
-    scores: dict[str, np.ndarray]  # word, or n-gram after a tab -> log10 frequency per language
+    rows: dict[str, int]  # word, or n-gram after a tab -> row of ``scores``
+    scores: np.ndarray  # log10 frequency per language, and 1
 
 
 def _words(text: str) -> list[str]:
@@ -67,7 +70,7 @@ def fit_languages(
     rows = labelled.filter("text is not null and lang is not null")
     found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     if not found:
-        return LanguageModel((), longest, {})
+        return LanguageModel((), longest, {}, np.empty((0, 1)))
     languages = tuple(sorted(r["lang"] for r in found))
     steps = 1 << 20
     keep = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], max(1, min(steps, round(steps * fit_rows / r["count"]))))])
@@ -81,27 +84,32 @@ def fit_languages(
         words.select("lang", F.explode(grams).alias("key"), "n").withColumn("size", F.length("key") - 1)
     )
     per_key = entries.groupBy("size", "key", "lang").agg(F.sum("n").alias("n"))
-    totals = {(r["size"], r["lang"]): r["n"] for r in per_key.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
-    wide = per_key.groupBy("size", "key").agg(F.sum("n").alias("n"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("lang", "n")))).alias("by"))
-    scores: dict[str, np.ndarray] = {}
+    by_language = F.map_from_entries(F.sort_array(F.collect_list(F.struct("lang", "n"))))
+    wide = staged(per_key.groupBy("size", "key").agg(F.sum("n").alias("n"), by_language.alias("by")), "language-counts")
+    words.unpersist()
+    counted = wide.select("size", F.explode("by").alias("lang", "n")).groupBy("size", "lang").agg(F.sum("n").alias("n"))
+    totals = {(r["size"], r["lang"]): r["n"] for r in counted.collect()}
+    rows_of: dict[str, int] = {}
+    scores: list[list[float]] = []
     for kind in range(longest + 1):
         top = wide.filter(F.col("size") == kind).orderBy(F.desc("n"), "key").limit(max_grams if kind else max_words)
         for key, by in top.select("key", "by").collect():
-            scores[key] = np.array([np.log10(by[a] / totals[kind, a]) if a in by else PENALTY for a in languages])
-    words.unpersist()
-    return LanguageModel(languages, longest, scores)
+            rows_of[key] = len(scores)
+            scores.append([*(math.log10(by[a] / totals[kind, a]) if a in by else PENALTY for a in languages), 1.0])
+    return LanguageModel(languages, longest, rows_of, np.array(scores))
 
 
 def _word_score(model: LanguageModel, word: str) -> np.ndarray:
-    """Score per language and whether the word says anything."""
-    known = model.scores.get(word)
+    """Score per language, and 1 if the word says anything or else 0."""
+    row = model.rows.get(word)
+    if row is not None:
+        return model.scores[row]
     padded = f" {word} "
     for n in range(model.longest, 0, -1):
-        if known is not None:
-            break
-        found = [s for i in range(len(padded) - n + 1) if (s := model.scores.get("\t" + padded[i : i + n])) is not None]
-        known = np.mean(found, axis=0) if found else None
-    return np.append(np.zeros(len(model.languages)), 0.0) if known is None else np.append(known, 1.0)
+        found = [r for i in range(len(padded) - n + 1) if (r := model.rows.get("\t" + padded[i : i + n])) is not None]
+        if found:
+            return model.scores[found].sum(axis=0) / len(found)
+    return np.zeros(len(model.languages) + 1)
 
 
 _TABLES: dict[int, tuple[LanguageModel, WordTable]] = {}
