@@ -5,7 +5,7 @@ written as Parquet and read again as the next stage's ``docs``.  All but the
 last keep the columns of ``documents``.
 
 1. ``language_id`` drops documents in no recognisable language: without a
-   letter, or with no language more likely than all others together.
+   letter, or with words that hardly tell the languages apart.
 2. ``near_duplicates`` keeps one document of each group of near copies, the one
    with the smallest id.  Rows that share an id are one group; of these the
    smallest row stays.  Rows without an id are in no group and stay.
@@ -25,7 +25,7 @@ from larkspur.llm.ngram_join import ngram_components
 from larkspur.llm.queries import SURROGATE_KEY, packed_documents
 from larkspur.llm.surrogates import replace_entities
 
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

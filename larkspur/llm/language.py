@@ -9,8 +9,8 @@ ties to the smaller name.
 
 The model is fitted on a bounded sample: about ``fit_rows`` labelled rows of
 each of the ``max_languages`` most frequent labels, drawn by a hash of the row
-id.  It keeps the ``max_words`` most frequent words and ``max_grams`` n-grams of
-each length; these parameters bound what is sent to the tasks, and what falls
+id.  It keeps the most frequent words, at most ``max_words``, and at most ``max_grams``
+n-grams of each length; these parameters bound what is sent to the tasks, and what falls
 outside is answered by the back-off.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as
@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -77,9 +78,13 @@ def fit_languages(
     sample = rows.filter(F.pmod(F.xxhash64(F.col(id_column)), F.lit(steps)) < F.element_at(keep, F.col("lang"))).select("text", "lang")
     words = sample.mapInPandas(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words = words.persist()
-    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    size = F.length("word") + 2
-    grams = F.flatten(F.array(*[F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i, n=n: F.concat(F.lit("\t"), F.substring(padded, i, F.lit(n))))).otherwise(F.array().cast("array<string>")) for n in range(1, longest + 1)]))
+    padded, size = F.concat(F.lit(" "), F.col("word"), F.lit(" ")), F.length("word") + 2
+
+    def grams_of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1)))
+        return F.filter(F.transform(starts, lambda i: F.concat(F.lit("\t"), F.substring(padded, i, F.lit(n)))), lambda g: F.length(g) == n + 1)
+
+    grams = F.concat(*[grams_of(n) for n in range(1, longest + 1)])
     entries = words.select("lang", F.col("word").alias("key"), F.lit(0).alias("size"), "n").unionByName(
         words.select("lang", F.explode(grams).alias("key"), "n").withColumn("size", F.length("key") - 1)
     )
@@ -91,14 +96,25 @@ def fit_languages(
     totals = {(r["size"], r["lang"]): r["n"] for r in counted.collect()}
     rows_of: dict[str, int] = {}
     scores: list[list[float]] = []
-    for kind in range(longest + 1):
-        top = wide.filter(F.col("size") == kind).orderBy(F.desc("n"), "key").limit(max_grams if kind else max_words)
-        for key, by in top.select("key", "by").collect():
-            rows_of[key] = len(scores)
-            scores.append([*(math.log10(by[a] / totals[kind, a]) if a in by else PENALTY for a in languages), 1.0])
+    least = _least_counts(wide, {kind: max_grams if kind else max_words for kind in range(longest + 1)})
+    kept = reduce(Column.__or__, [(F.col("size") == kind) & (F.col("n") >= n) for kind, n in least.items()])
+    for kind, key, by in wide.filter(kept).select("size", "key", "by").collect():
+        rows_of[key] = len(scores)
+        scores.append([*(math.log10(by[a] / totals[kind, a]) if a in by else PENALTY for a in languages), 1.0])
     return LanguageModel(languages, longest, rows_of, np.array(scores))
 
 
+def _least_counts(counts: DataFrame, most: dict[int, int]) -> dict[int, int]:
+    """Per size the smallest count that no more than ``most`` entries reach; only how many entries have each count is collected."""
+    least = {}
+    held: Counter = Counter()
+    for size, n, entries in counts.groupBy("size", "n").count().orderBy(F.desc("n")).collect():
+        held[size] += entries
+        if held[size] <= most[size]:
+            least[size] = n
+    return {size: least.get(size, 1 << 62) for size in most}
+
+
 def _word_score(model: LanguageModel, word: str) -> np.ndarray:
     """Score per language, and 1 if the word says anything or else 0."""
     row = model.rows.get(word)
