@@ -16,7 +16,7 @@ outside is answered by the back-off.
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as
 is every text if nothing could be learned; words without any known n-gram say
 nothing, and a text of only such words takes the first language with an even
-score.  Rows keep all their other columns, repeated rows are predicted alike.
+score.  Rows keep their other columns (those named like the two new ones are replaced), repeated rows are predicted alike.
 """
 
 from __future__ import annotations
@@ -162,8 +162,9 @@ def with_language(df: DataFrame, model: LanguageModel, text_column: str = "text"
             out.append((fitted.languages[best], float(1 / weight.sum())))
         return pd.DataFrame(out, columns=["name", "score"])
 
+    others = [c for c in df.columns if c not in (name_column, score_column)]
     return df.withColumn("__language", predict(F.col(text_column))).select(
-        *df.columns, F.col("__language.name").alias(name_column), F.col("__language.score").alias(score_column)
+        *others, F.col("__language.name").alias(name_column), F.col("__language.score").alias(score_column)
     )
 
 

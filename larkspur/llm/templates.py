@@ -261,17 +261,20 @@ def fold_expression(tree: Any, filters: Filters) -> Any:
 def fold(body: tuple, filters: Filters) -> tuple:
     """The same statements with constants evaluated, dead branches gone and neighbouring texts joined."""
     out: list[Any] = []
+
+    def add(node: Any) -> None:
+        if not (isinstance(node, Emit) and isinstance(node.what, Const)):
+            out.append(node)
+            return
+        text = "" if node.what.value is None else str(node.what.value)
+        if out and isinstance(out[-1], Emit) and isinstance(out[-1].what, Const):
+            text = out.pop().what.value + text
+        if text:
+            out.append(Emit(Const(text)))
+
     for node in body:
         if isinstance(node, Emit):
-            what = fold_expression(node.what, filters)
-            if isinstance(what, Const):
-                text = "" if what.value is None else str(what.value)
-                if out and isinstance(out[-1], Emit) and isinstance(out[-1].what, Const):
-                    text = out.pop().what.value + text
-                if text:
-                    out.append(Emit(Const(text)))
-            else:
-                out.append(Emit(what))
+            add(Emit(fold_expression(node.what, filters)))
         elif isinstance(node, Loop):
             out.append(Loop(node.target, fold_expression(node.over, filters), fold(node.body, filters)))
         elif isinstance(node, Choice):
@@ -284,7 +287,8 @@ def fold(body: tuple, filters: Filters) -> tuple:
                 if isinstance(condition, Const):
                     break
             if arms and isinstance(arms[0][0], Const):
-                out.extend(arms[0][1])
+                for inner in arms[0][1]:
+                    add(inner)
             elif arms:
                 out.append(Choice(tuple(arms)))
         elif isinstance(node, Assign):
