@@ -120,9 +120,9 @@ def _word_score(model: LanguageModel, word: str) -> np.ndarray:
     row = model.rows.get(word)
     if row is not None:
         return model.scores[row]
-    padded = f" {word} "
     for n in range(model.longest, 0, -1):
-        found = [r for i in range(len(padded) - n + 1) if (r := model.rows.get("\t" + padded[i : i + n])) is not None]
+        text = f" {word} " if n > 1 else word  # a padding space alone says nothing
+        found = [r for i in range(len(text) - n + 1) if (r := model.rows.get("\t" + text[i : i + n])) is not None]
         if found:
             return model.scores[found].sum(axis=0) / len(found)
     return np.zeros(len(model.languages) + 1)
