@@ -81,8 +81,9 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
 def _dominated(filling: Filling, room: int, stock: _Stock) -> bool:
     """Whether an item left could replace one item, or two, of the completion and still fit."""
     used, rest = Counter(filling), filling[1:]
-    for i, x in enumerate(rest):
-        spots = [(x + 1, x + room)] + [(x + y, x + y + room) for y in rest[i + 1 :]]
+    sizes = sorted(set(rest))
+    for i, x in enumerate(sizes):
+        spots = [(x + 1, x + room)] + [(x + y, x + y + room) for y in sizes[i:] if y > x or used[x] - (x == filling[0]) > 1]
         for low, high in spots:
             size = next(stock.at_most(high, used), 0)
             if size >= low and size <= filling[0]:
@@ -90,32 +91,44 @@ def _dominated(filling: Filling, room: int, stock: _Stock) -> bool:
     return False
 
 
-def _fillings(stock: _Stock, capacity: int, breadth: int, widths: tuple[int, ...] = (24, 6, 3)) -> list[tuple[int, Filling]]:
-    """Up to ``breadth`` undominated ``(waste, filling)`` around the largest item left, least waste first."""
+def _fillings(stock: _Stock, capacity: int, breadth: int, widths: tuple[int, ...] = (12, 4)) -> list[tuple[int, Filling]]:
+    """Up to ``breadth`` undominated ``(waste, filling)`` around the largest item left, least waste first.
+
+    The next item and the one after branch on the ``widths`` largest sizes that
+    fit; what room is left then goes to the best fit again and again, so a node
+    costs a bounded number of fillings however small the items are.
+    """
     found: dict[Filling, int] = {}
 
     def extend(filling: list[int], used: Counter, room: int) -> None:
-        width = widths[min(len(filling), len(widths)) - 1]
-        sizes = stock.at_most(min(room, filling[-1]), used)
+        if len(filling) > len(widths):
+            while (size := next(stock.at_most(min(room, filling[-1]), used), None)) is not None:
+                copies = min(stock.counts[size] - used[size], room // size)
+                filling = filling + [size] * copies
+                used = used + Counter({size: copies})
+                room -= size * copies
+            found[tuple(filling)] = room
+            return
         fitted = False
-        for size, _ in zip(sizes, range(width)):
+        for size, _ in zip(stock.at_most(min(room, filling[-1]), used), range(widths[len(filling) - 1])):
             fitted = True
-            used[size] += 1
-            extend([*filling, size], used, room - size)
-            used[size] -= 1
-            if sum(w == 0 for w in found.values()) >= breadth:
-                return
+            extend([*filling, size], used + Counter([size]), room - size)
         if not fitted:
             found[tuple(filling)] = room
 
     top = stock.sizes[-1]
     extend([top], Counter([top]), capacity - top)
     ranked = sorted(found.items(), key=lambda f: (f[1], len(f[0]), [-s for s in f[0]]))
-    kept = [(waste, filling) for filling, waste in ranked if not _dominated(filling, waste, stock)]
-    return (kept or [(waste, filling) for filling, waste in ranked[:1]])[:breadth]
+    kept = []
+    for filling, waste in ranked:
+        if len(kept) == breadth:
+            break
+        if not _dominated(filling, waste, stock):
+            kept.append((waste, filling))
+    return kept or [(waste, filling) for filling, waste in ranked[:1]]
 
 
-def complete_bins(counts: dict[int, int], capacity: int, max_nodes: int = 10_000, breadth: int = 4) -> Plan:
+def complete_bins(counts: dict[int, int], capacity: int, max_nodes: int = 4_000, breadth: int = 4) -> Plan:
     """Fillings with their numbers of bins that hold every item; sizes lie in 1..capacity."""
     incumbent = _best_fit(counts, capacity)
     fewest, least = sum(n for _, n in incumbent), lower_bound(counts, capacity)

@@ -11,7 +11,8 @@ splits, and no task or driver sees more than counts.
 
 Defined cases: a null or empty text is a document of the end id alone;
 repeated rows are packed as separate pieces; pieces of a null length or one
-outside 1..capacity get null places; an empty table gives no rows.
+outside 1..capacity get null places; an empty table gives no rows; columns
+named ``sequence_id`` and ``offset`` are replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -74,13 +75,14 @@ def _places(plan: Plan) -> dict[str, np.ndarray]:
     return dict(zip(("length", "rank", "copies", "bin", "offset"), columns))
 
 
-def pack(pieces: DataFrame, capacity: int = 4096, length_column: str = "length", max_nodes: int = 10_000) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 4096, length_column: str = "length", max_nodes: int = 4_000) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with a length: few sequences of at most ``capacity``, each gapless from 0.
 
     ``pieces`` is written once to the shared folder with a row number, since
     ranks must be the same in every later read.  The column names ``__row``,
     ``__split``, ``__length``, ``__base``, ``__n`` and ``__place`` are taken.
     """
+    pieces = pieces.drop("sequence_id", "offset")
     length = F.col(length_column).cast("long")
     inside = F.when(length.between(1, capacity), length)
     rows = staged(pieces.withColumns({"__row": F.monotonically_increasing_id(), "__length": inside}), "pieces").withColumn("__split", F.shiftright("__row", 33))
