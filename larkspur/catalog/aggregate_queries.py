@@ -233,6 +233,43 @@ def spearman_matrix(spark, sf):
     return rounded(A.spearman_matrix(table(spark, sf, "lineitem"), _CORR_COLS), "corr")
 
 
+_GAPPY = """SELECT *, CASE WHEN event_id % 7 = 0 THEN 'NaN'::double WHEN event_id % 11 = 0 THEN 'inf'::double WHEN event_id % 13 = 0 THEN NULL ELSE value END AS v,
+       CASE WHEN event_id % 5 <> 0 THEN user_id END AS u FROM events"""
+
+
+def _gappy(spark, sf):
+    """Events with NaN, infinite and null values in ``v`` and nulls in ``u``."""
+    spot = lambda n: F.col("event_id") % n == 0
+    v = F.when(spot(7), float("nan")).when(spot(11), float("inf")).when(spot(13), None).otherwise(F.col("value"))
+    return table(spark, sf, "events").withColumns({"v": v, "u": F.when(~spot(5), F.col("user_id"))})
+
+
+@query(
+    "A17",
+    f"""WITH g AS ({_GAPPY}), f AS (SELECT v FROM g WHERE isfinite(v)), w AS (SELECT min(v) AS lo, (max(v) - min(v)) / 8.0::double AS w FROM f)
+       SELECT least(floor((v - lo) / w), 7)::int AS bin, count(*) AS n, round(min(lo) + least(floor((v - lo) / w), 7) * min(w), 6) AS bin_start,
+              round(min(lo) + (least(floor((v - lo) / w), 7) + 1) * min(w), 6) AS bin_end FROM f, w GROUP BY least(floor((v - lo) / w), 7)
+       UNION ALL SELECT NULL, count(*), NULL, NULL FROM g WHERE NOT isfinite(v)""",
+)
+def histogram_gaps(spark, sf):
+    """Bins of the finite values; NaN and infinite ones are counted apart."""
+    return rounded(A.histogram(_gappy(spark, sf), "v", 8, others=True), "bin_start", "bin_end")
+
+
+def _pair_sql(a: str, b: str) -> str:
+    ranks = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::double AS r{i}" for i, c in enumerate((a, b)))
+    return f"SELECT '{a}' AS a, '{b}' AS b, round(corr(r0, r1), 6) AS corr FROM (SELECT {ranks} FROM g WHERE NOT isnan({a}) AND NOT isnan({b}) AND {a} IS NOT NULL AND {b} IS NOT NULL)"
+
+
+_GAP_COLS = ["v", "u", "event_id"]
+
+
+@query("A22", f"WITH g AS (SELECT v::double AS v, u::double AS u, event_id::double AS event_id FROM ({_GAPPY})) " + " UNION ALL ".join(_pair_sql(a, b) for a in _GAP_COLS for b in _GAP_COLS))
+def spearman_gaps(spark, sf):
+    """Rank correlation of columns with gaps, each pair over its common rows."""
+    return rounded(A.spearman_matrix(_gappy(spark, sf), _GAP_COLS), "corr")
+
+
 @query(
     "A23",
     """SELECT count(*) AS n_rows, round(avg(value), 6) AS mean_value, arg_max(value, (ts, event_id)) AS latest_value,
@@ -248,12 +285,23 @@ def kpi_row(spark, sf):
 @query(
     "A26",
     """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O",
-              count(*) FILTER (o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1""",
+              count(*) FILTER (o_orderstatus = 'P') AS "P", 0::BIGINT AS other FROM orders GROUP BY 1""",
 )
 def contingency(spark, sf):
     return A.contingency(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
 
 
+@query(
+    "A26",
+    """SELECT o_orderpriority, count(*) FILTER (s = 'F') AS "F", count(*) FILTER (s IS DISTINCT FROM 'F') AS rest
+       FROM (SELECT o_orderpriority, nullif(o_orderstatus, 'O') AS s FROM orders) GROUP BY 1""",
+)
+def contingency_rest(spark, sf):
+    """One listed value; all others and null are counted together."""
+    rows = table(spark, sf, "orders").withColumn("s", F.nullif("o_orderstatus", F.lit("O")))
+    return A.contingency(rows, "o_orderpriority", "s", ["F"], "rest")
+
+
 @query(
     "A27 T14 C1",
     """WITH d AS (SELECT toxic, length(text)::double AS v FROM documents JOIN labels USING (doc_id)),

@@ -32,7 +32,7 @@ def confusion_counts(spark, sf):
     return rounded(E.confusion_counts(predictions(spark, sf)), "share")
 
 
-@query("E10 A26", f'WITH p AS ({_PRED}) SELECT label::int AS label, count(*) FILTER (prediction = 0) AS "0", count(*) FILTER (prediction = 1) AS "1" FROM p GROUP BY 1')
+@query("E10 A26", f'WITH p AS ({_PRED}) SELECT label::int AS label, count(*) FILTER (prediction = 0) AS "0", count(*) FILTER (prediction = 1) AS "1", 0::BIGINT AS other FROM p GROUP BY 1')
 def confusion_wide(spark, sf):
     return E.confusion_wide(predictions(spark, sf), [0, 1])
 

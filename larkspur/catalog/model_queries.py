@@ -147,8 +147,7 @@ def text_language(spark, sf):
     rows = _texts(spark, sf).drop("label")
     train, test = X.hash_split(rows, "doc_id")
     index = G.indexer("lang", "label")
-    parts = spark.sparkContext.defaultParallelism
-    vectors = [index, G.tokeniser("text"), G.word_vectors("tokens", "features", 25, 2, parts), M.logistic("label", rounds=20)]
+    vectors = [index, G.tokeniser("text"), G.word_vectors("tokens", "features", 25, 2, parts=4), M.logistic("label", rounds=20)]
     hashed = [index, *G.tf_idf_stages("text", buckets=1000), M.logistic("label", rounds=20)]
     scores = []
     for name, stages in (("word vectors", vectors), ("term weights", hashed)):
@@ -169,7 +168,7 @@ def _bayes_weights(spark, sf, kind):
     """(label, term, weight): the fitted log probability of each term in each class."""
     rows = X.widen(table(spark, sf, "documents"), "doc_id").select("doc_id", T.word_tokens("text").alias("words")).join(table(spark, sf, "labels"), "doc_id")
     rows = rows.withColumn("label", F.col("quality").cast("double"))
-    counts = CountVectorizer(inputCol="words", outputCol="counts", minDF=30.0, vocabSize=1 << 18)
+    counts = CountVectorizer(inputCol="words", outputCol="counts", minDF=30.0, vocabSize=G.ANY_SIZE)
     stages = [counts, G.presence("counts", "features")] if kind == "bernoulli" else [counts.setOutputCol("features")]
     model = Pipeline(stages=[*stages, M.naive_bayes("label", kind=kind)]).fit(rows)
     weights, terms = model.stages[-1].theta.toArray(), model.stages[0].vocabulary

@@ -73,12 +73,9 @@ def document_frequency(counts: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def tf_idf(df: DataFrame, doc: str, tokens: Column | str) -> DataFrame:
-    """Long term-document matrix ``(doc, term, tf, df, idf, tfidf)``; no vector and nothing collected.
-
-    The most frequent terms are joined by broadcast, since they hold most rows.
-    """
+    """Long term-document matrix ``(doc, term, tf, df, idf, tfidf)``; no vector and nothing collected."""
     counts = term_counts(df, doc, tokens)
-    joined = lookup_join(counts, document_frequency(counts, df), "term", "uses")
+    joined = lookup_join(counts, document_frequency(counts, df), "term")
     return joined.withColumn("tfidf", F.col("tf") * F.col("idf")).select(doc, "term", "tf", "df", "idf", "tfidf")
 
 
@@ -122,7 +119,7 @@ def lemmatise(df: DataFrame, doc: str, tokens: Column | str, lexicon: DataFrame)
     """``(doc, position, term, lemma)``: each distinct term is resolved once, then joined back."""
     rows = positioned_tokens(df, doc, tokens)
     vocabulary = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return lookup_join(rows, lemma_table(vocabulary, lexicon), "term", "n").select(doc, "position", "term", "lemma")
+    return lookup_join(rows, lemma_table(vocabulary, lexicon), "term").select(doc, "position", "term", "lemma")
 
 
 def gather_tokens(rows: DataFrame, doc: str, token: str, name: str = "tokens") -> DataFrame:

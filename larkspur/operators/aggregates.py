@@ -8,12 +8,11 @@ from functools import reduce
 from itertools import combinations_with_replacement
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from larkspur.operators.lookups import HOT_KEYS, add_lookup
+from larkspur.operators.lookups import lookup_join
 from larkspur.operators.ordered import running_total
 from larkspur.operators.quality import per_column
 
@@ -143,9 +142,15 @@ def sigma_limits(df: DataFrame, col: str, k: float = 3.0) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, col: str, bins: int, keys: Sequence[str] = (), density: bool = False) -> DataFrame:
-    """Equal-width bins between the overall minimum and maximum; the maximum is in the last bin."""
-    present = df.filter(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("__v"))
+def histogram(df: DataFrame, col: str, bins: int, keys: Sequence[str] = (), density: bool = False, others: bool = False) -> DataFrame:
+    """Equal-width bins between the overall minimum and maximum of the finite values; the maximum is in the last bin.
+
+    Nulls are left out.  NaN and infinite values have no bin either; ``others``
+    adds a row with a null bin that counts them (per key).
+    """
+    given = df.filter(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("__v"))
+    finite = ~F.isnan("__v") & (F.abs("__v") < F.lit(math.inf))
+    present = given.filter(finite)
     limits = present.agg(F.min("__v").alias("lo"), F.max("__v").alias("hi"))
     edges = present.withColumns({"__lo": limits.select("lo").scalar(), "__hi": limits.select("hi").scalar()})
     width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
@@ -164,7 +169,10 @@ def histogram(df: DataFrame, col: str, bins: int, keys: Sequence[str] = (), dens
     if density:
         n_all = F.sum("n").over(Window.partitionBy(*keys)) if keys else F.sum("n").over(Window.partitionBy(F.lit(1)))
         out = out.withColumn("density", F.try_divide(F.col("n").cast("double"), n_all * F.col("__w")))
-    return out.drop("__w")
+    out = out.drop("__w")
+    if others:
+        out = out.unionByName(given.filter(~finite).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), allowMissingColumns=True)
+    return out
 
 
 def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -258,7 +266,7 @@ def exact_quantiles(
         pending |= _shrink(values, wide, accuracy)
     if narrow := {t: s for t, s in pending.items() if isinstance(s, _Span)}:
         pending |= _read_ranks(values, narrow)
-    rows = []
+    rows = [(c, float(p), None) for c in cols for p in probs if not sizes[c]]  # a column without values has null quantiles
     for (c, p), at in places.items():
         low, high = pending[c, math.floor(at)], pending[c, math.ceil(at)]
         rows.append((c, p, low + (high - low) * (at - math.floor(at))))
@@ -273,7 +281,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5) -> DataF
     )
     iqr = F.col("q3") - F.col("q1")
     fences = fences.withColumns({"lower_fence": F.col("q1") - whisker * iqr, "upper_fence": F.col("q3") + whisker * iqr})
-    rows = _long_values(df, cols).join(F.broadcast(fences), "column")
+    rows = _long_values(df, cols).join(F.broadcast(fences), "column", "right")  # one row per column
     outside = ~F.col("value").between(F.col("lower_fence"), F.col("upper_fence"))
     return rows.groupBy("column", "q1", "median", "q3", "lower_fence", "upper_fence").agg(
         F.min("value").alias("min"), F.max("value").alias("max"), F.count_if(outside).alias("outliers")
@@ -308,32 +316,43 @@ def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return ranked.select("column", "value", "n", (F.col("upto") - (F.col("n") - 1) / F.lit(2.0)).alias("rank"))
 
 
+def _rank_correlations(rows: DataFrame, cols: Sequence[str]) -> list[tuple[str, str, float | None]]:
+    """Pearson over average ranks of rows in which every column is present."""
+    ranks = average_ranks(rows, cols)
+    ranked = rows
+    for c in cols:
+        of_c = ranks.filter(F.col("column") == c).select(F.col("value").alias(c), F.col("rank").alias(f"__r_{c}"))
+        ranked = lookup_join(ranked, of_c, c)
+    return [tuple(r) for r in pearson_matrix(ranked.select(*[F.col(f"__r_{c}").alias(c) for c in cols]), cols).collect()]
+
+
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Spearman correlation: Pearson over average ranks, for rows where every column is present.
+    """Spearman correlation in long form, each pair over the rows in which both columns are present.
 
-    Ranks are computed once for all columns.  Columns with few distinct values
-    are joined by broadcast, the others by a lookup that spreads heavy values.
+    Columns without gaps share one set of ranks; a pair with a gappy column is
+    ranked over its own common rows, since dropping a row shifts the ranks.
     """
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    ranks = average_ranks(rows, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        distinct = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
-        ranked = rows
-        for c in cols:
-            of_c = ranks.filter(F.col("column") == c).select(F.col("value").alias(c), "n", F.col("rank").alias(f"__r_{c}"))
-            if distinct.get(c, 0) <= HOT_KEYS:
-                ranked = ranked.join(F.broadcast(of_c.drop("n")), c)
-            else:
-                ranked = add_lookup(ranked, of_c, c, f"__r_{c}", "n")
-        cells = pearson_matrix(ranked.select(*[F.col(f"__r_{c}").alias(c) for c in cols]), cols).collect()
-    finally:
-        ranks.unpersist()
+    clean = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
+    rows = df.select(*[clean(c) for c in cols])
+    gaps = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    whole = [c for c in cols if not gaps[c]]
+    cells = _rank_correlations(rows.select(*whole), whole) if whole else []
+    for a, b in combinations_with_replacement(cols, 2):
+        if gaps[a] or gaps[b]:
+            pair = list(dict.fromkeys((a, b)))
+            found = {(x, y): r for x, y, r in _rank_correlations(rows.select(*pair).dropna(), pair)}
+            cells += [(x, y, found[x, y]) for x, y in {(a, b), (b, a)}]
     return df.sparkSession.createDataFrame(cells, "a string, b string, corr double")
 
 
-def contingency(df: DataFrame, rows: str, cols: str, values: Sequence[object]) -> DataFrame:
-    """Counts of ``rows`` by the listed ``values`` of ``cols``, absent pairs as 0."""
-    return df.groupBy(rows).pivot(cols, list(values)).agg(F.count(F.lit(1))).fillna(0)
+def contingency(df: DataFrame, rows: str, cols: str, values: Sequence[object], other: str = "other") -> DataFrame:
+    """Counts of ``rows`` by the listed ``values`` of ``cols``, absent pairs as 0.
+
+    All remaining rows, null values included, are counted in the column ``other``.
+    """
+    listed = F.coalesce(F.col(cols).isin(list(values)), F.lit(False))
+    counts = [F.count_if(F.col(cols) == F.lit(v)).alias(str(v)) for v in values]
+    return df.groupBy(rows).agg(*counts, F.count_if(~listed).alias(other))
 
 
 def sample_per_group(df: DataFrame, key: str, row_id: str, k: int) -> DataFrame:

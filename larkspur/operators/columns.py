@@ -35,14 +35,17 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def sanitised_names(names: Iterable[str]) -> list[str]:
     """Lower-case snake names: ``blank`` when empty, ``col_`` before a digit, ``_n`` on repeats."""
-    repeats: dict[str, int] = {}
+    taken: set[str] = set()
     result = []
     for raw in names:
         slug = re.sub("_{2,}", "_", re.sub("[^0-9a-z_]", "_", raw.strip().lower())).strip("_") or "blank"
         slug = f"col_{slug}" if slug[0].isdigit() else slug
-        n = repeats.get(slug, -1) + 1
-        repeats[slug] = n
-        result.append(f"{slug}_{n}" if n else slug)
+        name, n = slug, 0
+        while name in taken:  # a suffixed name may itself be one of the names
+            n += 1
+            name = f"{slug}_{n}"
+        taken.add(name)
+        result.append(name)
     return result
 
 

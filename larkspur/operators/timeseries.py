@@ -176,8 +176,8 @@ def zscores(df: DataFrame, col: str, keys: Sequence[str] = (), name: str = "zsco
     if not keys:
         stats = df.agg(F.struct(F.avg(col).alias("m"), F.stddev(col).alias("s"))).scalar()
         return df.withColumn(name, F.try_divide(F.col(col) - stats["m"], stats["s"]))
-    stats = df.groupBy(*keys).agg(F.avg(col).alias("__m"), F.stddev(col).alias("__s"), F.count(F.lit(1)).alias("__n"))
-    joined = lookup_join(df, stats, list(keys), "__n")
+    stats = df.groupBy(*keys).agg(F.avg(col).alias("__m"), F.stddev(col).alias("__s"))
+    joined = lookup_join(df, stats, list(keys))
     return joined.select(*df.columns, F.try_divide(F.col(col) - F.col("__m"), F.col("__s")).alias(name))
 
 

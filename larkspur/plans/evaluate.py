@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from larkspur.operators.aggregates import contingency
 from larkspur.operators.ordered import running_total
 
 
@@ -18,9 +19,9 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
     return counted.withColumn("share", F.col("n").cast("double") / of_label)
 
 
-def confusion_wide(df: DataFrame, classes: Sequence[object], label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row per label, one count column per predicted class."""
-    return df.groupBy(label).pivot(prediction, list(classes)).agg(F.count(F.lit(1))).fillna(0)
+def confusion_wide(df: DataFrame, classes: Sequence[object], label: str = "label", prediction: str = "prediction", other: str = "other") -> DataFrame:
+    """One row per label, one count column per listed class, and ``other`` for every other prediction."""
+    return contingency(df, label, prediction, classes, other)
 
 
 def _ratio(a: Column, b: Column) -> Column:

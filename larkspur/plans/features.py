@@ -16,6 +16,8 @@ from larkspur.operators.lookups import lookup_join
 from larkspur.operators.ordered import row_numbers
 
 
+ANY_SIZE = 2**31 - 1  # the estimator must be given a size; this one cuts nothing
+
 def assembler(cols: Sequence[str], output: str = "features", keep_invalid: bool = False) -> VectorAssembler:
     """Columns to one vector; a null is an error unless ``keep_invalid`` (then it becomes NaN)."""
     return VectorAssembler(inputCols=list(cols), outputCol=output, handleInvalid="keep" if keep_invalid else "error")
@@ -50,14 +52,14 @@ def category_index(df: DataFrame, col: str) -> DataFrame:
 
 def with_category_index(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     index = category_index(df, col).withColumnRenamed("index", name or f"{col}_index").withColumnRenamed("n", "__n")
-    return lookup_join(df, index, col, "__n").drop("__n")
+    return lookup_join(df, index, col).drop("__n")
 
 
 def one_hot_long(df: DataFrame, row_id: str, col: str) -> DataFrame:
     """Sparse one-hot code ``(row, category index)``; the last category is all zeros, so it has no row."""
     index = category_index(df, col).withColumnRenamed("n", "__n")
     last = index.agg(F.max("index")).scalar()
-    return lookup_join(df.select(row_id, col), index, col, "__n").filter(F.col("index") < last).select(
+    return lookup_join(df.select(row_id, col), index, col).filter(F.col("index") < last).select(
         row_id, F.col("index").alias("position")
     )
 
@@ -92,31 +94,23 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     cells = df.select(F.inline(pairs), F.col(label).alias("label")).groupBy("feature", "value", "label").agg(
         F.count(F.lit(1)).cast("double").alias("o")
     )
-    by_label = cells.groupBy("feature", "label").agg(F.sum("o").alias("col_total"))
-    per_value = cells.withColumn("row_total", F.sum("o").over(Window.partitionBy("feature", "value")))
-    n = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    joined = per_value.join(by_label, ["feature", "label"])
-    stat = joined.groupBy("feature").agg(
+    # every total comes from the counted cells; rows of one value stay together with one row per label
+    values = cells.groupBy("feature", "value").agg(F.collect_list(F.struct("label", "o")).alias("labels"), F.sum("o").alias("row_total"))
+    per_cell = values.select("feature", "row_total", F.inline("labels"))
+    per_label = cells.groupBy("feature", "label").agg(F.sum("o").alias("col_total"))
+    stat = per_cell.join(per_label, ["feature", "label"]).groupBy("feature").agg(
         F.sum(F.col("o") * F.col("o") / (F.col("row_total") * F.col("col_total"))).alias("ratio"),
         F.sum(F.col("o") / F.col("row_total")).alias("n_values"),
         F.sum(F.col("o") / F.col("col_total")).alias("n_labels"),
+        F.sum("o").alias("n"),
     )
     return stat.select(
         "feature",
-        (n * (F.col("ratio") - 1)).alias("statistic"),
+        (F.col("n") * (F.col("ratio") - 1)).alias("statistic"),
         ((F.round("n_values") - 1) * (F.round("n_labels") - 1)).cast("long").alias("degrees_of_freedom"),
     )
 
 
-def feature_selector(
-    source: str, output: str, label: str, continuous: bool = False, mode: str = "fpr", threshold: float = 0.05
-) -> UnivariateFeatureSelector:
-    """Chi-square (categorical) or ANOVA F (continuous) selection against a categorical label."""
-    selector = UnivariateFeatureSelector(featuresCol=source, outputCol=output, labelCol=label, selectionMode=mode)
-    selector.setFeatureType("continuous" if continuous else "categorical").setLabelType("categorical")
-    return selector.setSelectionThreshold(threshold)
-
-
 def vector_slice(source: str, output: str, indices: Sequence[int]) -> VectorSlicer:
     return VectorSlicer(inputCol=source, outputCol=output, indices=list(indices))
 
@@ -142,10 +136,14 @@ def stop_words(source: str, output: str) -> StopWordsRemover:
 
 
 def tf_idf_stages(
-    text: str, *, buckets: int | None = None, vocabulary: int = 10_000, min_df: float = 1.0, words_only: bool = False,
+    text: str, *, buckets: int | None = None, vocabulary: int | None = None, min_df: float = 1.0, words_only: bool = False,
     keep_stop_words: bool = False, weighted: bool = True, output: str = "features",
 ) -> list:
-    """Text to term weights: hashed into ``buckets``, or over a fitted ``vocabulary``."""
+    """Text to term weights: hashed into ``buckets``, or over a fitted vocabulary.
+
+    The vocabulary holds every term of ``min_df`` documents; only a caller that
+    names ``vocabulary`` cuts it to so many terms.
+    """
     stages: list = [tokeniser(text, "tokens", words_only)]
     tokens = "tokens"
     if not keep_stop_words:
@@ -155,7 +153,7 @@ def tf_idf_stages(
     if buckets:
         stages.append(HashingTF(inputCol=tokens, outputCol=counts, numFeatures=buckets))
     else:
-        stages.append(CountVectorizer(inputCol=tokens, outputCol=counts, vocabSize=vocabulary, minDF=min_df))
+        stages.append(CountVectorizer(inputCol=tokens, outputCol=counts, vocabSize=vocabulary or ANY_SIZE, minDF=min_df))
     if weighted:
         stages.append(IDF(inputCol=counts, outputCol=output))
     return stages
@@ -167,7 +165,7 @@ def word_count_stages(cols: Sequence[str], output: str = "features") -> list:
 
 
 def word_vectors(tokens: str, output: str, size: int = 100, min_count: int = 1, parts: int = 1, seed: int = 42) -> Word2Vec:
-    """Averaged word vectors; give ``parts`` the number of tasks that should train."""
+    """Averaged word vectors.  ``parts`` tasks train and are averaged, so it is part of the result and must not follow the machine."""
     return Word2Vec(inputCol=tokens, outputCol=output, vectorSize=size, minCount=min_count, numPartitions=parts, seed=seed)
 
 

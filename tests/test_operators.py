@@ -167,15 +167,17 @@ def test_box_stats_counts_outliers(spark):
     assert row["outliers"] == 1 and row["median"] == 3.5
 
 
-@pytest.mark.parametrize("hot", [2, 10_000])
-def test_spearman_with_ties(spark, monkeypatch, hot):
-    monkeypatch.setattr(A, "HOT_KEYS", hot)
+@pytest.mark.parametrize("gaps", [False, True])
+def test_spearman_with_ties(spark, gaps):
     rnd = random.Random(3)
-    data = [(float(rnd.randrange(5)), rnd.random(), float(rnd.randrange(200))) for _ in range(800)]
-    frame = pd.DataFrame(data, columns=["a", "b", "c"])
-    expected = frame.rank().corr()
-    got = A.spearman_matrix(spark.createDataFrame(frame), ["a", "b", "c"]).collect()
-    assert len(got) == 9
+    data = [(float(rnd.randrange(5)), rnd.random(), float(rnd.randrange(200)), 1.0 * i) for i in range(800)]
+    frame = pd.DataFrame(data, columns=["a", "b", "c", "d"])
+    if gaps:
+        frame.loc[::3, "a"] = None
+        frame.loc[::7, "b"] = None
+    expected = frame.corr(method="spearman")
+    got = A.spearman_matrix(spark.createDataFrame(frame), ["a", "b", "c", "d"]).collect()
+    assert len(got) == 16
     for r in got:
         assert r["corr"] == pytest.approx(expected.loc[r["a"], r["b"]])
 
@@ -197,23 +199,53 @@ def test_describe_of_nulls(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot", [1, 3, 1000])
-def test_lookup_join_equals_join(spark, rows, how, hot):
+def test_lookup_join_equals_join(spark, rows, how):
     rnd = random.Random(5)
     data = [(i, "hot" if rnd.random() < 0.4 else f"k{rnd.randrange(30)}") for i in range(1500)]
     df = spark.createDataFrame(data, "id long, key string")
     table = df.groupBy("key").count().filter("key <> 'k7'").withColumn("x", F.length("key"))
-    out = L.lookup_join(df, table, "key", "count", how, hot_keys=hot)
+    out = L.lookup_join(df, table, "key", how)
     assert rows(out, "id", "key", "count", "x") == rows(df.join(table, "key", how), "id", "key", "count", "x")
 
 
-@pytest.mark.parametrize("hot", [1, 1000])
-def test_add_lookup_equals_left_join(spark, rows, hot):
-    rnd = random.Random(6)
-    df = spark.createDataFrame([(i, None if i % 50 == 0 else rnd.randrange(20)) for i in range(500)], "id long, key int")
-    table = df.dropna().groupBy("key").count().withColumn("x", F.col("key") * 2)
-    out = L.add_lookup(df, table, "key", "x", "count", hot_keys=hot)
-    assert rows(out, "id", "key", "x") == rows(df.join(table, "key", "left"), "id", "key", "x")
+def test_lookup_join_cuts_a_key_of_equal_rows(spark):
+    """Nine tenths of the rows are identical; no task of the join may hold them together."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    before = {k: spark.conf.get(k) if k != "spark.sql.adaptive.autoBroadcastJoinThreshold" else None for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 200_000
+        key = F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 3000))
+        rows = spark.range(0, n, 1, 64).select(key.alias("key"), F.lit("same").alias("payload"))
+        table = spark.range(0, 3000).select(F.concat(F.lit("k"), F.col("id")).alias("key"), "id").union(spark.createDataFrame([("hot", -1)], "key string, id long"))
+        joined = L.lookup_join(rows, table, "key").withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in joined.groupBy("task").count().collect()]
+        assert sum(sizes) == n and max(sizes) < n / 3  # 180,000 rows of the key
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_histogram_of_odd_values(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "v double")
+    bins = {(r["bin"], r["bin_start"], r["bin_end"], r["n"]) for r in A.histogram(df, "v", 2, others=True).collect()}
+    assert bins == {(0, 1.0, 2.0, 1), (1, 2.0, 3.0, 2), (None, None, None, 3)}
+
+
+def test_nothing_is_left_out_silently(spark):
+    df = spark.createDataFrame([("a", "x", None), ("a", "Z", None), ("a", None, None), ("b", "x", None)], "k string, v string, n double")
+    assert {tuple(r) for r in A.contingency(df, "k", "v", ["x", "y"]).collect()} == {("a", 1, 0, 2), ("b", 1, 0, 0)}
+    assert [tuple(r) for r in A.exact_quantiles(df, ["n"], [0.5]).collect()] == [("n", 0.5, None)]
+    assert [tuple(r) for r in A.box_stats(df, ["n"]).select("column", "median", "min", "outliers").collect()] == [("n", None, None, 0)]
+
+
+def test_sanitised_names_stay_unique():
+    assert C.sanitised_names(["a", "a_1", "a", "A", "", " ", "1"]) == ["a", "a_1", "a_2", "a_3", "blank", "blank_1", "col_1"]
 
 
 # Sampling
