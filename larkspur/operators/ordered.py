@@ -5,8 +5,9 @@
 rows.  Here the total order ``(keys, order columns)`` is cut into contiguous
 range buckets of similar size, so one long series spans many tasks:
 
-* bucket edges come from a hash sample of the order columns.  The sample has a
-  fixed size, whatever the table's, and the edges become a literal of the plan;
+* bucket edges come from a hash sample of the order columns.  Their number
+  follows the rows of the table, the sample is sorted and numbered in parallel,
+  and only the edges reach the driver, to become a literal of the plan;
 * an edge is placed every ``spacing`` sampled rows.  Between two edges there
   are at least ``spacing`` rows, and the row ``k`` samples before an edge has
   at least ``k`` rows between itself and the edge.  That makes it a safe start
@@ -23,11 +24,14 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 _BUCKET, _HALO, _COPY = "__bucket", "__halo", "__copy"
-_MAX_SAMPLE = 1_000_000
-_ONE_BUCKET = 4096  # a table of so few rows is one bucket
+_BUCKET_ROWS = 1_000_000  # rows of a bucket that the number of buckets aims at
+_SPACING = 32  # sampled rows between two edges where no frame asks for more
+_SAMPLE_PART = 200_000  # sampled rows that one task numbers
+_LONGEST = 10_000_000  # rows of a frame, which one task must hold
 _EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 Build = Callable[[WindowSpec], dict[str, Column]]
@@ -42,25 +46,49 @@ class Edges(NamedTuple):
     high: Column
 
 
+def _numbered(sampled: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct sampled points ``p`` with their place ``i`` (from 0) in the total order, and the frame held for them.
+
+    Range partitions are numbered inside and shifted by the counts of the
+    partitions before, so no task holds more than a partition of the sample.
+    """
+    parts = max(1, -(-rows // _SAMPLE_PART))
+    ranged = sampled.distinct().repartitionByRange(parts, "p").sortWithinPartitions("p")
+    local = ranged.withColumn("at", F.monotonically_increasing_id()).withColumns(
+        {"part": F.shiftright("at", 33), "at": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))}
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    shifts = local.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("shift"))
+    return local.join(shifts, "part").select("p", (F.col("at") + F.col("shift")).alias("i")), local
+
+
 def _sampled_edges(
     df: DataFrame, order: Sequence[str], before: int, after: int, buckets: int | None, size_of: DataFrame | None
 ) -> Edges | None:
-    """Edges of about ``buckets`` ranges, or None when one bucket is enough."""
-    keys, reach = df.select(*order), max(before, after)
+    """Edges of about ``buckets`` ranges.  None if the rows are fewer than a frame reaches, or no two rows differ in the order columns."""
+    keys, reach = df.select(*order), max(before, after, 1)
+    if reach > _LONGEST:
+        raise ValueError(f"a frame of {reach} rows must fit into a task; at most {_LONGEST} rows are supported")
     n_rows = (size_of if size_of is not None else keys).count()
-    if buckets is None and n_rows <= _ONE_BUCKET:
-        return None
-    wanted = buckets or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spacing = max(32, min(16 * reach, max(4 * reach, _MAX_SAMPLE // wanted)))
-    wanted = max(1, min(wanted, _MAX_SAMPLE // spacing))
+    wanted = buckets or max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // _BUCKET_ROWS))
+    # samples between two edges: four frames, so that halos stay a small share, unless that leaves too few rows for two buckets
+    spacing = max(min(4 * reach, n_rows // 2), reach, 1) if reach > 1 else _SPACING
+    if reach <= 1 and n_rows < wanted * spacing:
+        spacing = max(1, n_rows // wanted)
     every = max(1, n_rows // (wanted * spacing))
     sampled = keys.filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).select(F.struct(*order).alias("p"))
-    at = F.when(F.size("s") > 2 * spacing, F.sequence(F.lit(spacing), F.size("s") - spacing, F.lit(spacing)))
-    pick = lambda shift: F.array_compact(F.transform(at, lambda i: F.get("s", (i + shift).cast("int"))))
-    edges = sampled.agg(F.sort_array(F.collect_set("p")).alias("s")).select(
-        F.struct(pick(-before).alias("low"), pick(0).alias("at"), pick(after).alias("high")).alias("edges"), F.size(at).alias("n")
-    )
-    found = edges.select(F.to_json("edges", _EXACT), "n").first()
+    numbered, held = _numbered(sampled, n_rows // every)
+    try:
+        last = numbered.agg(F.max("i")).first()[0]
+        if last is None or last + 1 < 2 * spacing:
+            return None
+        kinds = {"low": -before, "at": 0, "high": after}
+        spots = [F.when((F.col("i") - shift >= spacing) & (F.col("i") - shift <= last + 1 - spacing) & ((F.col("i") - shift) % spacing == 0), F.col("p")).alias(k) for k, shift in kinds.items()]
+        edges = numbered.select(*spots).agg(F.struct(*[F.sort_array(F.collect_list(k)).alias(k) for k in kinds]).alias("edges"))  # three rows per edge
+        edges = edges.select("edges", F.size("edges.at").alias("n"))
+        found = edges.select(F.to_json("edges", _EXACT), "n").first()
+    finally:
+        held.unpersist()
     if not found[1] or found[1] < 1:
         return None
     literal = F.from_json(F.lit(found[0]), edges.schema["edges"].dataType, _EXACT)

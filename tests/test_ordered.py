@@ -105,3 +105,22 @@ def test_no_nested_loops(spark):
     for df in (skewed(spark), skewed(spark, 50)):
         plan = row_numbers(df, ["ts", "id"])._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_long_frames_still_give_several_buckets(spark):
+    df = spark.range(0, 5_000_000, 1, 8).select(F.col("id").alias("ts"), F.col("id"))
+    sizes = [r["count"] for r in range_buckets(df, ["ts", "id"], before=130_000).filter("not __halo").groupBy("__bucket").count().collect()]
+    assert sum(sizes) == 5_000_000 and len(sizes) >= 5 and max(sizes) < 1_500_000
+
+
+def test_a_frame_too_long_for_a_task_is_refused(spark):
+    with pytest.raises(ValueError, match="must fit into a task"):
+        range_buckets(spark.range(10), ["id"], before=20_000_000)
+
+
+def test_bucket_number_follows_the_rows(spark, monkeypatch):
+    from larkspur.operators import ordered
+
+    monkeypatch.setattr(ordered, "_BUCKET_ROWS", 1000)
+    counts = [range_buckets(spark.range(n), ["id"]).select("__bucket").distinct().count() for n in (20_000, 100_000)]
+    assert 15 <= counts[0] <= 25 and 80 <= counts[1] <= 120
