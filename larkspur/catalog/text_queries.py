@@ -97,7 +97,7 @@ def tfidf_long(spark, sf):
 
 
 @query(
-    "T7 T8 T15",
+    "T7 T8",
     f"""WITH c AS (SELECT doc_id, t AS term, count(*) AS tf FROM (SELECT doc_id, unnest({_WORDS}) AS t FROM documents) GROUP BY 1, 2),
             d AS (SELECT term, count(*) AS df, sum(tf) AS total FROM c GROUP BY 1 HAVING count(*) >= 20)
        SELECT doc_id, count(*) AS terms, round(sum(tf * ln(((SELECT count(*) FROM documents) + 1)::double / (df + 1))), 4) AS weight

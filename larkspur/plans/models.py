@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -14,9 +15,11 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator, Evaluator
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from larkspur.operators.sampling import hash_bucket, hash_split
+
 
 @contextmanager
 def held(df: DataFrame):
@@ -104,18 +107,34 @@ def param_grid(choices: Sequence[tuple[object, Sequence]]) -> list:
     return builder.build()
 
 
-def cross_validate(stage: Estimator, grid: list, judge: Evaluator, train: DataFrame, folds: int = 5, parallelism: int = 2, seed: int = 42):
-    tuner = CrossValidator(estimator=stage, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, parallelism=parallelism, seed=seed)
-    with held(train) as kept:
+def cross_validate(stage: Estimator, grid: list, judge: Evaluator, train: DataFrame, key: str, folds: int = 5, parallelism: int = 2):
+    """Tune by cross-validation; a row's fold follows from a hash of its ``key``, not from its partition."""
+    tuner = CrossValidator(
+        estimator=stage, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, parallelism=parallelism, foldCol="__fold"
+    )
+    with held(train.withColumn("__fold", hash_bucket(key, folds, salt="fold").cast("int"))) as kept:
         return tuner.fit(kept)
 
 
-def validate_once(stage: Estimator, grid: list, judge: Evaluator, train: DataFrame, share: float = 0.8, parallelism: int = 2, seed: int = 42):
-    tuner = TrainValidationSplit(
-        estimator=stage, estimatorParamMaps=grid, evaluator=judge, trainRatio=share, parallelism=parallelism, seed=seed
-    )
+@dataclass(frozen=True)
+class Tuned:
+    """Validation score of each grid point, and the best setting fitted on all training rows."""
+
+    grid: list
+    validationMetrics: list[float]
+    bestModel: Model
+
+    def getEstimatorParamMaps(self) -> list:
+        return self.grid
+
+
+def validate_once(stage: Estimator, grid: list, judge: Evaluator, train: DataFrame, key: str, percent: int = 80) -> Tuned:
+    """Tune on one split by a hash of ``key``; the best setting is fitted again on all rows of ``train``."""
     with held(train) as kept:
-        return tuner.fit(kept)
+        fitted, judged = hash_split(kept, key, percent)
+        scores = [float(judge.evaluate(stage.fit(fitted, point).transform(judged))) for point in grid]
+        pick = max if judge.isLargerBetter() else min
+        return Tuned(grid, scores, stage.fit(kept, grid[scores.index(pick(scores))]))
 
 
 def tuning_table(tuned: Model, spark: SparkSession, larger_is_better: bool = True) -> DataFrame:

@@ -169,7 +169,7 @@ def test_regressions_recover_a_line(spark, kind, tolerance):
 def test_tuning_table_is_sorted(spark):
     tree = M.decision_tree("label")
     judge = MulticlassClassificationEvaluator(metricName="accuracy")
-    tuned = M.cross_validate(tree, M.param_grid([(tree.maxDepth, [1, 3])]), judge, blobs(spark).select("features", "label"), folds=3)
+    tuned = M.cross_validate(tree, M.param_grid([(tree.maxDepth, [1, 3])]), judge, blobs(spark).withColumn("id", F.monotonically_increasing_id()), "id", folds=3)
     table = M.tuning_table(tuned, spark).collect()
     assert [r["settings"]["maxDepth"] for r in table] == ["3", "1"] and table[0]["score"] >= table[1]["score"]
 
