@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,7 +20,35 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the cluster's shared folder and read it back: lineage ends at files that outlive executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a :func:`staged` frame that nothing will read again."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Shared:
+    """A broadcast value with what each Python worker makes of it once, such as an encoder with its table of words.
+
+    Only the value travels.  What was made lives and goes with the broadcast,
+    so a worker that later runs other tasks does not keep it.
+    """
+
+    def __init__(self, value: Any, make: Callable[[Any], Any]) -> None:
+        self.value, self.make = value, make
+
+    def __getstate__(self) -> dict:
+        return {"value": self.value, "make": self.make}
+
+    def made(self) -> Any:
+        if "_made" not in self.__dict__:
+            self._made = self.make(self.value)
+        return self._made
 
 
 def vocabulary_bytes(path: str) -> bytes:
@@ -57,4 +87,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        pairs = staged(small.filter("u <> v").distinct(), "edges")
+        last, pairs = pairs, staged(small.filter("u <> v").distinct(), "edges")
+        release(last)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_PIECE = 1 << 22
+_PIECE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TAG = np.uint64(0xD1B54A32D192ED03)
 EMPTY = np.empty(0, "u8")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.llm import credentials, surrogates
+from larkspur.llm import credentials, ngram_join, surrogates
 from larkspur.llm.common import components
 from larkspur.llm.language import fit_languages, with_language
 from larkspur.llm.near_vectors import learn_rotation, near_vectors, substrings
@@ -80,8 +80,10 @@ def near_copies(draw, words, base, n, changes):
     return out
 
 
-@pytest.mark.parametrize("ordered", [1_000_000, 0])
-def test_ngram_join(spark, ordered):
+@pytest.mark.parametrize("ordered, long_list, block", [(1_000_000, 64, 1024), (0, 64, 1024), (0, 3, 8), (1_000_000, 0, 1024)])
+def test_ngram_join(spark, monkeypatch, ordered, long_list, block):
+    monkeypatch.setattr(ngram_join, "_LONG_LIST", long_list)
+    monkeypatch.setattr(ngram_join, "_BLOCK", block)
     draw = np.random.default_rng(11)
     words = [f"w{i}" for i in range(400)]
     passage = [words[i] for i in draw.integers(0, 400, 30)]
