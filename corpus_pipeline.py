@@ -28,12 +28,19 @@ from larkspur.llm.surrogates import replace_entities
 LEAST_SCORE = 0.4
 
 
+def _short_batches(spark: SparkSession) -> None:
+    """Texts are long rows: a thousand at a time keep a task's Python batch at a few MB."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     told = with_language(docs, fit_languages(docs), name_column="__name", score_column="__score")
     return told.filter((F.col("__name") != "und") & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     groups = ngram_components(docs)
     first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     rest = [c for c in docs.columns if c != "doc_id"]
@@ -47,6 +54,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     return packed_documents(docs)
 
 

@@ -32,11 +32,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larkspur.llm.common import staged
+from larkspur.llm.common import Shared, staged
 from larkspur.llm.words import WordTable
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_HELD_WORDS = 500_000
+_HELD_WORDS = 200_000  # words that a fitting task counts before it passes them on
+_TABLE_WORDS = 150_000  # scored words that a predicting task keeps
 _EVIDENCE_WORDS = 8  # the certainty of a longer text is that of so many words
 PENALTY = -7.0  # log10 frequency of what a language never had
 
@@ -128,26 +129,19 @@ def _word_score(model: LanguageModel, word: str) -> np.ndarray:
     return np.zeros(len(model.languages) + 1)
 
 
-_TABLES: dict[int, tuple[LanguageModel, WordTable]] = {}
-
-
 def _table(model: LanguageModel) -> WordTable:
-    """One table of scored words per Python worker and model."""
-    held = _TABLES.get(id(model))
-    if held is None:
-        _TABLES.clear()
-        held = _TABLES[id(model)] = (model, WordTable(lambda w: _word_score(model, w), "<f8"))
-    return held[1]
+    """Scores of words already met by a Python worker."""
+    return WordTable(lambda w: _word_score(model, w), "<f8", _TABLE_WORDS)
 
 
 def with_language(df: DataFrame, model: LanguageModel, text_column: str = "text", name_column: str = "lang_pred", score_column: str = "score") -> DataFrame:
     """Add the predicted language of each whole text and a score from 0 to 1."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(Shared(model, _table))
 
     @F.pandas_udf("name string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        fitted = shared.value
-        table, n = _table(fitted), len(fitted.languages)
+        fitted, table = shared.value.value, shared.value.made()
+        n = len(fitted.languages)
         out = []
         for text in texts:
             words = _words(text) if text and n else []

@@ -25,9 +25,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from larkspur.llm.common import staged, vocabulary_bytes
+from larkspur.llm.common import Shared, staged, vocabulary_bytes
 from larkspur.llm.completion import Plan, complete_bins
-from larkspur.llm.words import encoder_of
+from larkspur.llm.words import TextEncoder
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 _BATCH_BYTES = 1 << 24
@@ -35,10 +35,10 @@ _BATCH_BYTES = 1 << 24
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int = 1, capacity: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Ids of each whole text and ``end_id``, cut every ``capacity`` ids: ``doc_id, piece, start, length, ids`` (binary, little-endian 32 bits)."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(vocabulary_bytes(tokenizer_file))
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Shared(vocabulary_bytes(tokenizer_file), TextEncoder))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(vocabulary.value)
+        encoder = vocabulary.value.made()
         end = np.array([end_id], "<u4")
         rows, held = [], 0
         for batch in batches:

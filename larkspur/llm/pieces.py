@@ -19,14 +19,13 @@ to the empty text; null ids decode to the empty text; rows keep all their other
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from larkspur.llm.common import vocabulary_bytes
+from larkspur.llm.common import Shared, vocabulary_bytes
 from larkspur.llm.words import WordTable
 
 _MARK = "▁"
@@ -71,18 +70,13 @@ class ChunkEncoder:
         return self.library.decode(np.frombuffer(ids, "<u4").tolist()) if ids else ""
 
 
-@lru_cache(maxsize=2)
-def _encoder(model: bytes) -> ChunkEncoder:
-    return ChunkEncoder(model)
-
-
 def with_piece_ids(df: DataFrame, model_file: str, text_column: str = "text", ids_column: str = "ids", ends: bool = True) -> DataFrame:
     """Add the ids of each whole text as little-endian 32-bit numbers, with begin and end ids if ``ends``."""
-    model = df.sparkSession.sparkContext.broadcast(vocabulary_bytes(model_file))
+    model = df.sparkSession.sparkContext.broadcast(Shared(vocabulary_bytes(model_file), ChunkEncoder))
 
     @F.pandas_udf("binary")
     def encode(texts: pd.Series) -> pd.Series:
-        encoder = _encoder(model.value)
+        encoder = model.value.made()
         first, last = (np.array([x], "<u4").tobytes() if ends else b"" for x in (encoder.library.bos_id(), encoder.library.eos_id()))
         return pd.Series([first + encoder.encode(t) + last for t in texts])
 
@@ -91,10 +85,11 @@ def with_piece_ids(df: DataFrame, model_file: str, text_column: str = "text", id
 
 def with_decoded(df: DataFrame, model_file: str, ids_column: str = "ids", text_column: str = "decoded") -> DataFrame:
     """Add the text that the library decodes from each row's ids."""
-    model = df.sparkSession.sparkContext.broadcast(vocabulary_bytes(model_file))
+    model = df.sparkSession.sparkContext.broadcast(Shared(vocabulary_bytes(model_file), ChunkEncoder))
 
     @F.pandas_udf("string")
     def decode(ids: pd.Series) -> pd.Series:
-        return pd.Series([_encoder(model.value).decode(x) for x in ids])
+        encoder = model.value.made()
+        return pd.Series([encoder.decode(x) for x in ids])
 
     return df.withColumn(text_column, decode(F.col(ids_column)))

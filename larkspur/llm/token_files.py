@@ -28,8 +28,8 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from larkspur.llm.common import vocabulary_bytes
-from larkspur.llm.words import encoder_of
+from larkspur.llm.common import Shared, vocabulary_bytes
+from larkspur.llm.words import TextEncoder
 
 _MANIFEST = "shard int, stem string, n_docs long, n_null long, n_tokens long, width int"
 _ROWS_OUT = 4096
@@ -45,11 +45,11 @@ def write_token_files(
     Arrow batch of texts and the offsets of its documents.
     """
     spark = docs.sparkSession
-    vocabulary = spark.sparkContext.broadcast(vocabulary_bytes(tokenizer_file))
+    vocabulary = spark.sparkContext.broadcast(Shared(vocabulary_bytes(tokenizer_file), TextEncoder))
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(vocabulary.value)
+        encoder = vocabulary.value.made()
         width = 2 if max(end_id, encoder.tokenizer.get_vocab_size() - 1) < 1 << 16 else 4
         store, root = fs.FileSystem.from_uri(folder)
         end = np.array([end_id], f"<u{width}").tobytes()

@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterable
-from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -49,7 +48,7 @@ _BYTE_CHARACTERS = _byte_characters()
 class WordTable(dict):
     """word -> its ids as bytes.  Starts afresh at ``limit`` words; words over 64 characters are not kept."""
 
-    def __init__(self, ids_of: Callable[[str], Iterable[int]], dtype: str, limit: int = 600_000) -> None:
+    def __init__(self, ids_of: Callable[[str], Iterable[int]], dtype: str, limit: int = 400_000) -> None:
         super().__init__()
         self.ids_of, self.dtype, self.limit = ids_of, dtype, limit
 
@@ -62,12 +61,6 @@ class WordTable(dict):
         return ids
 
 
-@lru_cache(maxsize=4)
-def encoder_of(file: bytes, dtype: str = "<u4") -> TextEncoder:
-    """One encoder per Python worker, so its word table serves all tasks of the worker."""
-    return TextEncoder(file, dtype)
-
-
 class TextEncoder:
     """``encode(text)`` gives the text's ids, without special tokens, as an array of ``dtype``."""
 
