@@ -152,8 +152,10 @@ def stemmed_terms(spark, sf):
     )
 
 
+# Fixed values, written out here again so that the oracle does not follow a change of the rule it checks.
+_ENDINGS = [("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y")]
 _FORMS = ", ".join(
-    ["term"] + [f"CASE WHEN ends_with(term, '{old}') THEN concat(left(term, length(term) - {len(old)}), '{new}') END" for old, new in T.NOUN_ENDINGS]
+    ["term"] + [f"CASE WHEN ends_with(term, '{old}') THEN concat(left(term, length(term) - {len(old)}), '{new}') END" for old, new in _ENDINGS]
 )
 
 
