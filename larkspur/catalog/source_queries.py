@@ -44,7 +44,11 @@ def tsv_scan(spark, sf):
        FROM benchmark""",
 )
 def corpus_scan(spark, sf):
-    """One file per benchmark item, read back whole with split and class taken from the folder."""
+    """One file per benchmark item, read back whole with split and class taken from the folder.
+
+    The query writes its own corpus, so it makes as many files as the table has
+    items: the operator is a scan with one row per file.
+    """
     root = scratch_path(spark, "corpus")
     items = S.table(spark, sf, "benchmark").select(
         F.when(F.col("item_id") % 5 == 0, "test").otherwise("train").alias("split"),

@@ -179,7 +179,11 @@ def word_vectors(tokens: str, output: str, size: int = 100, min_count: int = 1,
 
 
 def label_names(model: PipelineModel, spark) -> DataFrame:
-    """``(output column, index, label)`` for every fitted string indexer of a pipeline."""
+    """``(output column, index, label)`` for every fitted string indexer of a pipeline.
+
+    The labels are those the fitted model holds on the driver already; for more
+    categories than that allows use :func:`category_index`.
+    """
     rows = [
         (stage.getOutputCol(), float(i), name)
         for stage in model.stages
