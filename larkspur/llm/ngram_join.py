@@ -301,12 +301,12 @@ def ngram_components(
     def long_lists(most: int | None) -> DataFrame:
         """Pairs from long posting lists: blocks of classes, each with all its shingles, so that only pairs within the bound come out."""
         sizes = lists.groupBy("token").agg(F.count("*").alias("m")).filter(F.col("m") > _LONG_LIST)
-        longer = lists.join(sizes, "token")
-        by_class = longer.groupBy("x").agg(F.collect_list("token").alias("long"))
-        sets = lists.join(by_class, "x").groupBy("x").agg(F.collect_list("token").alias("tokens"), F.first("long").alias("long"))
+        in_long = F.collect_list(F.when(F.col("m").isNotNull(), F.struct("token", "m"))).alias("long")
+        sets = lists.join(sizes, "token", "left").groupBy("x", "component").agg(F.collect_list("token").alias("tokens"), in_long).filter(F.size("long") > 0)
+        longer = sets.select("x", "component", "tokens", F.col("long.token").alias("long"), F.explode("long").alias("at")).select("*", "at.token", "at.m")
         parts = F.ceil(F.col("m") / _BLOCK).cast("int")
         cut = longer.withColumn("part", F.pmod(F.xxhash64("x.rep", "x.h"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        blocks = cut.join(sets, "x").select(
+        blocks = cut.select(
             "token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "x.rep", "x.h", "x.n", "component", "tokens", "long"
         )
         found = blocks.groupBy("token", "i", "j").applyInPandas(_close_pairs(percent, most), ", ".join(f"{c} long" for c in _PAIR))
