@@ -21,7 +21,6 @@ score.  Rows keep their other columns (those named like the two new ones are rep
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -95,14 +94,17 @@ def fit_languages(
     words.unpersist()
     counted = wide.select("size", F.explode("by").alias("lang", "n")).groupBy("size", "lang").agg(F.sum("n").alias("n"))
     totals = {(r["size"], r["lang"]): r["n"] for r in counted.collect()}
-    rows_of: dict[str, int] = {}
-    scores: list[list[float]] = []
     least = _least_counts(wide, {kind: max_grams if kind else max_words for kind in range(longest + 1)})
     kept = reduce(Column.__or__, [(F.col("size") == kind) & (F.col("n") >= n) for kind, n in least.items()])
-    for kind, key, by in wide.filter(kept).select("size", "key", "by").collect():
-        rows_of[key] = len(scores)
-        scores.append([*(math.log10(by[a] / totals[kind, a]) if a in by else PENALTY for a in languages), 1.0])
-    return LanguageModel(languages, longest, rows_of, np.array(scores))
+
+    def score(language: str) -> Column:
+        total = F.create_map(*[F.lit(x) for kind in range(longest + 1) for x in (kind, float(totals.get((kind, language), 1)))])
+        return F.coalesce(F.log10(F.try_element_at("by", F.lit(language)) / F.element_at(total, F.col("size"))), F.lit(PENALTY))
+
+    entries = wide.filter(kept).select("key", F.array(*[score(a) for a in languages], F.lit(1.0)).alias("scores")).toArrow().combine_chunks()
+    rows_of = {key: row for row, key in enumerate(entries["key"].to_pylist())}
+    flat = entries["scores"].combine_chunks().flatten().to_numpy() if len(rows_of) else np.empty(0)
+    return LanguageModel(languages, longest, rows_of, flat.reshape(-1, len(languages) + 1))
 
 
 def _least_counts(counts: DataFrame, most: dict[int, int]) -> dict[int, int]:
