@@ -34,6 +34,14 @@ _MARKED_LINES = re.compile(f"{_MARK}+[^{_MARK}\n]*|\n[^{_MARK}\n]*")
 _USER_DEFINED = 4  # piece type in the model file
 
 
+def _segmented(library: sentencepiece.SentencePieceProcessor, marker: int, chunk: str) -> list[int]:
+    if chunk[0] == "\n":  # the library puts a marker in front, which is a piece of its own here
+        return library.encode(chunk)[1:]
+    if chunk == _MARK:  # before a line break or at the end: the library adds no marker to an empty text
+        return [marker]
+    return library.encode(chunk[1:].replace(_MARK, " "))  # the library adds the first marker itself
+
+
 class ChunkEncoder:
     """Whole texts to ids and back; ``chunked`` tells whether the chunk table applies."""
 
@@ -50,14 +58,9 @@ class ChunkEncoder:
             and not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in pieces)
         )
         self.cut = (_MARKED if any("\n" in p and len(p) > 1 for p in pieces) else _MARKED_LINES).findall
-        self.table = WordTable(self._segment, "<u4")
-
-    def _segment(self, chunk: str) -> list[int]:
-        if chunk[0] == "\n":  # the library puts a marker in front, which is a piece of its own here
-            return self.library.encode(chunk)[1:]
-        if chunk == _MARK:  # before a line break or at the end: the library adds no marker to an empty text
-            return [self.library.piece_to_id(_MARK)]
-        return self.library.encode(chunk[1:].replace(_MARK, " "))  # the library adds the first marker itself
+        library, marker = self.library, self.library.piece_to_id(_MARK)
+        # the table refers to the library and not to this object, so that both go as soon as nothing uses them
+        self.table = WordTable(lambda chunk: _segmented(library, marker, chunk), "<u4")
 
     def encode(self, text: str | None) -> bytes:
         if not text:

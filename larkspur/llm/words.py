@@ -68,8 +68,9 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_str(file.decode())
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype(dtype)
-        self.model = self.tokenizer.model
-        self.table = WordTable(self._merge, self.dtype)
+        model = self.tokenizer.model  # the library's merges of one word, without the cost of offsets and masks
+        # the table refers to the model and not to this object, so that both go as soon as nothing uses them
+        self.table = WordTable(lambda word: [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARACTERS))], self.dtype)
         kind = (type(self.tokenizer.normalizer).__name__, type(self.tokenizer.pre_tokenizer).__name__)
         if kind == ("NoneType", "ByteLevel"):
             self.cut = _BYTE_WORDS.findall
@@ -78,10 +79,6 @@ class TextEncoder:
         else:
             self.cut = None
 
-    def _merge(self, word: str) -> list[int]:
-        """The library's merges of one word, without the cost of offsets and masks."""
-        return [token.id for token in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARACTERS))]
-
     def _library(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
