@@ -3,12 +3,15 @@
 The input is how many items there are of each size, at most ``capacity`` rows
 whatever the data; the output is a list of fillings, each with how many bins
 use it.  The search fills one bin at a time around the largest item left and
-branches on the undominated fillings of the rest, fullest first.  A filling is
-dominated when one item (or two of its items) could give way to a larger item
-that is left and still fits.  A branch ends when the waste it has committed to
-exceeds what a solution with fewer bins than the incumbent could afford.  The
-first incumbent is best-fit decreasing; the search stops at the lower bound or
-after ``max_nodes`` fillings and returns the best incumbent.
+branches on the undominated fillings of the rest, fullest first and larger
+items first among equals; which sums the sizes left can make is known exactly,
+so any filling has its turn and is sought only when the ones before it failed.
+A filling is tried for as many bins as it lasts, then for half as many down to
+one.  It is dominated when one item (or two of its items) could give way to a
+larger item that is left and still fits.  A branch ends when the waste it has
+committed to exceeds what a solution with fewer bins than the incumbent could
+afford.  The first incumbent is best-fit decreasing; the search stops at the
+lower bound or after ``max_nodes`` fillings and returns the best incumbent.
 """
 
 from __future__ import annotations
@@ -91,73 +94,95 @@ def _dominated(filling: Filling, room: int, stock: _Stock) -> bool:
     return False
 
 
-def _fillings(stock: _Stock, capacity: int, breadth: int, widths: tuple[int, ...] = (12, 4)) -> list[tuple[int, Filling]]:
-    """Up to ``breadth`` undominated ``(waste, filling)`` around the largest item left, least waste first.
+def _next_filling(stock: _Stock, capacity: int, last: Filling | None) -> Filling | None:
+    """The filling around the largest item left that follows ``last`` (null: the first) by waste, then by larger items first; null after the last one.
 
-    The next item and the one after branch on the ``widths`` largest sizes that
-    fit; what room is left then goes to the best fit again and again, so a node
-    costs a bounded number of fillings however small the items are.
+    Every filling that the stock allows has its place in this order.  ``reach[i]``
+    has the sums that the ``i`` smallest sizes can make as bits, so that each
+    step leads to a filling and none is walked in vain.  Nothing is kept between
+    calls: a long path would hold a table per bin.
     """
-    found: dict[Filling, int] = {}
-
-    def extend(filling: list[int], used: Counter, room: int) -> None:
-        if len(filling) > len(widths):
-            while (size := next(stock.at_most(min(room, filling[-1]), used), None)) is not None:
-                copies = min(stock.counts[size] - used[size], room // size)
-                filling = filling + [size] * copies
-                used = used + Counter({size: copies})
-                room -= size * copies
-            found[tuple(filling)] = room
-            return
-        fitted = False
-        for size, _ in zip(stock.at_most(min(room, filling[-1]), used), range(widths[len(filling) - 1])):
-            fitted = True
-            extend([*filling, size], used + Counter([size]), room - size)
-        if not fitted:
-            found[tuple(filling)] = room
-
     top = stock.sizes[-1]
-    extend([top], Counter([top]), capacity - top)
-    ranked = sorted(found.items(), key=lambda f: (f[1], len(f[0]), [-s for s in f[0]]))
-    kept = []
-    for filling, waste in ranked:
-        if len(kept) == breadth:
-            break
-        if not _dominated(filling, waste, stock):
-            kept.append((waste, filling))
-    return kept or [(waste, filling) for filling, waste in ranked[:1]]
-
-
-def complete_bins(counts: dict[int, int], capacity: int, max_nodes: int = 4_000, breadth: int = 4) -> Plan:
-    """Fillings with their numbers of bins that hold every item; sizes lie in 1..capacity."""
+    room = capacity - top
+    sizes = stock.sizes[: bisect_right(stock.sizes, room)]
+    copies = [min(stock.counts[s] - (s == top), room // s) for s in sizes]
+    reach, every = [1], (1 << room + 1) - 1
+    for size, n in zip(sizes, copies):
+        sums, step = reach[-1], 1
+        while n > 0 and sums != every:
+            sums |= sums << size * min(step, n)
+            n, step = n - step, step * 2
+        reach.append(sums & every)
+
+    def fill(need: int, i: int) -> list[int]:
+        """Items of the ``i`` smallest sizes that make ``need``, larger ones first; ``reach[i]`` has it."""
+        out: list[int] = []
+        while need:
+            i = min(i, bisect_right(sizes, need)) - 1
+            for n in range(min(copies[i], need // sizes[i]), 0, -1):
+                if reach[i] >> need - n * sizes[i] & 1:
+                    out += [sizes[i]] * n
+                    need -= n * sizes[i]
+                    break
+        return out
+
+    if last is None:
+        return (top, *fill(reach[-1].bit_length() - 1, len(sizes)))
+    rest, need = list(last[1:]), 0
+    while rest:  # the smallest item that can give way to smaller ones of the same sum
+        size = rest.pop()
+        need += size
+        i = bisect_left(sizes, size)
+        if reach[i] >> need & 1:
+            return (top, *rest, *fill(need, i))
+    fuller = reach[-1] & (1 << need) - 1
+    return (top, *fill(fuller.bit_length() - 1, len(sizes))) if fuller else None
+
+
+def search_bins(counts: dict[int, int], capacity: int, max_nodes: int = 4_000) -> tuple[Plan, int, int]:
+    """The plan of ``complete_bins``, how many fillings the search tried and how many complete plans it reached."""
     incumbent = _best_fit(counts, capacity)
     fewest, least = sum(n for _, n in incumbent), lower_bound(counts, capacity)
     total = sum(size * n for size, n in counts.items())
-    stock, path, nodes = _Stock(counts), [], 0
-    waste = bins = 0
-    open_fillings: list[list[tuple[int, Filling]]] = [_fillings(stock, capacity, breadth)[::-1]] if fewest > least else []
-    while open_fillings and fewest > least and nodes < max_nodes:
-        if not open_fillings[-1]:
-            open_fillings.pop()
-            if path:
-                filling, n, lost = path.pop()
-                stock.change(filling, -n)
-                waste, bins = waste - lost, bins - n
-            continue
-        lost, filling = open_fillings[-1].pop()
-        n = stock.bins_of(filling)
+    stock, path = _Stock(counts), []
+    waste = bins = nodes = leaves = 0
+    tried: list[tuple[Filling | None, int]] = [(None, 0)] if fewest > least else []  # of each open node the last filling and its bins
+    while tried and fewest > least and nodes < max_nodes:
+        if len(path) == len(tried):
+            filling, n, lost = path.pop()
+            stock.change(filling, -n)
+            waste, bins = waste - lost, bins - n
         nodes += 1
-        if waste + lost * n > (fewest - 1) * capacity - total:
-            n = ((fewest - 1) * capacity - total - waste) // lost if lost else 0  # as many of them as the bound allows
-            if n < 1:
+        before, n = tried[-1]
+        filling, n = before, n // 2  # the same filling for fewer bins, then the next filling
+        if n == 0:
+            filling = _next_filling(stock, capacity, before)
+            if filling is None:
+                tried.pop()
                 continue
+            n = stock.bins_of(filling)
+        lost = capacity - sum(filling)
+        spare = (fewest - 1) * capacity - total - waste
+        if lost > spare:  # as with all that follow
+            tried.pop()
+            continue
+        if filling != before and before is not None and _dominated(filling, lost, stock):
+            tried[-1] = filling, 0
+            continue
+        n = min(n, spare // lost) if lost else n  # as many of them as the bound allows
+        tried[-1] = filling, n
         stock.change(filling, n)
         path.append((filling, n, lost * n))
         waste, bins = waste + lost * n, bins + n
         if stock.sizes:
-            open_fillings.append(_fillings(stock, capacity, breadth)[::-1])
+            tried.append((None, 0))
             continue
+        leaves += 1
         if bins < fewest:
             fewest, incumbent = bins, [(f, k) for f, k, _ in path]
-        open_fillings.append([])
-    return incumbent
+    return incumbent, nodes, leaves
+
+
+def complete_bins(counts: dict[int, int], capacity: int, max_nodes: int = 4_000) -> Plan:
+    """Fillings with their numbers of bins that hold every item; sizes lie in 1..capacity."""
+    return search_bins(counts, capacity, max_nodes)[0]

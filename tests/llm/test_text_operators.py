@@ -4,7 +4,7 @@ import hashlib
 import random
 from collections import Counter
 from functools import cache
-from itertools import permutations
+from itertools import combinations, permutations
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +14,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from larkspur.llm import chat
-from larkspur.llm.completion import complete_bins, lower_bound
+from larkspur.llm.completion import _next_filling, _Stock, complete_bins, lower_bound
 from larkspur.llm.packing import pack, sequences, token_pieces
 from larkspur.llm.pieces import ChunkEncoder, with_decoded, with_piece_ids
 from larkspur.llm.templates import Choice, Const, Emit, TemplateError, compile_template, fold, parse
@@ -166,6 +166,28 @@ def test_bin_completion_beats_best_fit():
     assert sum(n for _, n in plan) == lower_bound(counts, 61)
 
 
+def test_every_filling_has_its_turn():
+    draw = random.Random(5)
+    for _ in range(40):
+        counts = Counter(draw.randint(1, 12) for _ in range(8))
+        top = max(counts)
+        rest = sorted((counts - Counter([top])).elements(), reverse=True)
+        expected = {(top, *items) for n in range(len(rest) + 1) for items in combinations(rest, n) if top + sum(items) <= 20}
+        found, filling = [], None
+        while (filling := _next_filling(_Stock(counts), 20, filling)) is not None:
+            found.append(filling)
+        assert len(found) == len(expected) and set(found) == expected
+        assert [sum(f) for f in found] == sorted(map(sum, found), reverse=True)
+
+
+def test_bin_completion_closes_bins_with_many_sizes():
+    # the sizes next to the largest leave room that nothing fills; 1800 + 1148 + 1148 has none
+    assert _next_filling(_Stock({1148: 2, 1149: 1, **{size: 1 for size in range(1780, 1801)}}), 4096, None) == (1800, 1148, 1148)
+    draw = random.Random(1)
+    counts = Counter(draw.randint(600, 1800) for _ in range(2_000))
+    assert sum(n for _, n in complete_bins(counts, 4096)) <= 1.01 * lower_bound(counts, 4096)
+
+
 def test_templates():
     filters = {"up": str.upper}
     render = compile_template(
