@@ -11,7 +11,9 @@ one.  It is dominated when one item (or two of its items) could give way to a
 larger item that is left and still fits.  A branch ends when the waste it has
 committed to exceeds what a solution with fewer bins than the incumbent could
 afford.  The first incumbent is best-fit decreasing; the search stops at the
-lower bound or after ``max_nodes`` fillings and returns the best incumbent.
+lower bound or after ``max_nodes`` fillings, or four times those of the
+incumbent if that is more; the path it is on is then completed by best fit,
+and the best plan is returned.
 """
 
 from __future__ import annotations
@@ -143,6 +145,7 @@ def search_bins(counts: dict[int, int], capacity: int, max_nodes: int = 4_000) -
     """The plan of ``complete_bins``, how many fillings the search tried and how many complete plans it reached."""
     incumbent = _best_fit(counts, capacity)
     fewest, least = sum(n for _, n in incumbent), lower_bound(counts, capacity)
+    max_nodes = max(max_nodes, 4 * len(incumbent))
     total = sum(size * n for size, n in counts.items())
     stock, path = _Stock(counts), []
     waste = bins = nodes = leaves = 0
@@ -180,6 +183,10 @@ def search_bins(counts: dict[int, int], capacity: int, max_nodes: int = 4_000) -
         leaves += 1
         if bins < fewest:
             fewest, incumbent = bins, [(f, k) for f, k, _ in path]
+    if fewest > least and stock.sizes and path:  # stopped on the way down
+        rest = _best_fit(stock.counts, capacity)
+        if bins + sum(n for _, n in rest) < fewest:
+            incumbent = [(f, k) for f, k, _ in path] + rest
     return incumbent, nodes, leaves
 
 

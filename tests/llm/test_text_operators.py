@@ -14,7 +14,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from larkspur.llm import chat
-from larkspur.llm.completion import _next_filling, _Stock, complete_bins, lower_bound
+from larkspur.llm.completion import _next_filling, _Stock, complete_bins, lower_bound, search_bins
 from larkspur.llm.packing import pack, sequences, token_pieces
 from larkspur.llm.pieces import ChunkEncoder, with_decoded, with_piece_ids
 from larkspur.llm.templates import Choice, Const, Emit, TemplateError, compile_template, fold, parse
@@ -188,6 +188,13 @@ def test_bin_completion_closes_bins_with_many_sizes():
     assert sum(n for _, n in complete_bins(counts, 4096)) <= 1.01 * lower_bound(counts, 4096)
 
 
+def test_bin_completion_finishes_plans_of_any_length():
+    draw = random.Random(1)
+    counts = Counter(draw.randint(600, 1800) for _ in range(2_000))
+    plan, _, leaves = search_bins(counts, 4096, max_nodes=10)  # a plan has some 590 fillings
+    assert leaves and sum(n for _, n in plan) <= 1.01 * lower_bound(counts, 4096)
+
+
 def test_templates():
     filters = {"up": str.upper}
     render = compile_template(
