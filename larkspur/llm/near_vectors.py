@@ -4,9 +4,11 @@ A rotation of the principal directions is learned on a bounded sample
 (``fit_rows`` rows drawn by a hash of the id) so that the signs of a rotated
 vector make a balanced binary code.  The code is cut into substrings of
 ``key_bits``, once contiguously and once strided, and every vector enters one
-table per substring; vectors that agree on a whole substring of one table and
-on the label meet in a bucket.  There the original vectors are compared in
-double precision.  A pair that meets in several tables counts in the first.
+table per substring; vectors that agree on a substring of one table, but for
+one bit at most, and on the label meet in a bucket: besides its own key, a
+vector probes the keys with one of its set bits cleared, so that a pair one bit
+apart meets once, at the key without the bit.  There the original vectors are
+compared in double precision.  A pair that meets in several tables counts in the first.
 
 Equal vectors of a label are one class with a multiplicity, so copies are never
 paired up.  A bucket of more than ``block`` classes is cut into blocks and each
@@ -97,12 +99,15 @@ def near_vectors(
         return pd.Series(list(np.stack([signs[:, t] @ (1 << np.arange(len(t))) for t in tables], axis=1).astype("i4")))
 
     coded = staged(classes.withColumn("keys", keys_of("v")), "codes")
-    entries = coded.select("c", "label", F.posexplode("keys").alias("t", "key"))
+    own = coded.select("c", "label", F.posexplode("keys").alias("t", "key"), F.lit(True).alias("home"))
+    set_bits = F.filter(F.array(*[F.col("key").bitwiseAND(F.lit(1 << b)) for b in range(max(map(len, tables)))]), lambda bit: bit > 0)
+    probes = own.withColumn("bit", F.explode(set_bits)).select("c", "label", "t", (F.col("key") - F.col("bit")).alias("key"), F.lit(False).alias("home"))
+    entries = own.unionByName(probes)
     bucket = ["label", "t", "key"]
-    sizes = entries.groupBy(*bucket).agg(F.count("*").alias("size")).filter("size > 1").withColumn("parts", F.ceil(F.col("size") / block).cast("int"))
+    sizes = entries.groupBy(*bucket).agg(F.count("*").alias("size"), F.max("home").alias("used")).filter("size > 1 and used").drop("used").withColumn("parts", F.ceil(F.col("size") / block).cast("int"))
     dealt = entries.join(sizes, bucket).withColumn("part", F.pmod(F.xxhash64("c", "t"), F.col("parts")).cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "c", "label", "t", "key", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
+        "c", "label", "t", "key", "home", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
     )
     full = paired.join(coded.select("c", "label", "rep", "n", "v", "keys"), ["c", "label"])
 
@@ -114,15 +119,17 @@ def near_vectors(
         if group["i"].iloc[0] != group["j"].iloc[0]:
             part = group["part"].to_numpy()
             near &= part[:, None] != part[None, :]
+        home = group["home"].to_numpy()
+        near &= home[:, None] | home[None, :]
         keys, t = np.stack(group["keys"].to_numpy()), int(group["t"].iloc[0])
-        first = near.copy()
         for earlier in range(t):
-            first &= keys[:, earlier][:, None] != keys[:, earlier][None, :]
+            apart = keys[:, earlier][:, None] ^ keys[:, earlier][None, :]
+            near &= (apart & (apart - 1)) != 0  # more than one bit, so they did not meet there
         reps = group["rep"].to_numpy()
         order = np.argsort(reps, kind="stable")
         root = np.empty(len(reps), "i8")
         root[order] = reps[order][_components_of(near[np.ix_(order, order)])]
-        links = first @ group["n"].to_numpy()
+        links = near @ group["n"].to_numpy()
         found = near.any(axis=1)
         return pd.DataFrame({"c": group["c"], "label": group["label"], "rep": reps, "links": links, "root": root})[found]
 

@@ -249,6 +249,20 @@ def test_near_vectors(spark, block):
     assert len(found) == len(ids)
 
 
+def test_near_vectors_finds_pairs_at_the_threshold(spark):
+    draw = np.random.default_rng(7)
+    one, other = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in draw.normal(size=(2, 1_500, 64)))
+    other -= (one * other).sum(1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = draw.uniform(0.9801, 0.985, size=(1_500, 1))
+    vectors = np.concatenate([one, cosine * one + np.sqrt(1 - cosine**2) * other])
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: r for r in near_vectors(df).collect()}
+    assert max(r["n_links"] for r in found.values()) == 1
+    linked = sum(found[i]["n_links"] == 1 and found[i + 1_500]["component_id"] == i for i in range(1_500))
+    assert linked >= 0.99 * 1_500
+
+
 def test_near_vectors_without_rows(spark):
     assert near_vectors(vectors(spark, [])).count() == 0
     assert [tuple(r) for r in near_vectors(vectors(spark, [(1, None, 1)])).collect()] == [(1, 0, 1, True)]
