@@ -15,6 +15,7 @@ from larkspur.llm.near_vectors import near_vectors
 from larkspur.llm.ngram_join import ngram_components
 from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.pieces import with_decoded, with_piece_ids
+from larkspur.llm.repeats import with_repetition
 from larkspur.llm.small_world import nearest
 from larkspur.llm.surrogates import replace_entities
 from larkspur.llm.token_files import read_token_files, write_token_files
@@ -218,3 +219,40 @@ SURROGATE_KEY = "a key for trials; production passes its own"
 def op3_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its personal data replaced by surrogates."""
     return replace_entities(table(spark, folder, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
+def _twice(width: int) -> str:
+    """Per word: whether the window of ``width`` words that starts there occurs twice in its text."""
+    last = f"list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i:i + {width - 1}], ' '))"
+    return f"""SELECT r, i, count(*) OVER (PARTITION BY r, g) > 1 AS twice FROM (SELECT r, unnest(range(1, len(w) - {width - 2})) AS i, unnest({last}) AS g FROM words WHERE len(w) >= {width})"""
+
+
+@query(
+    f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    words AS (SELECT r, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM docs),
+    five AS ({_twice(5)}), ten AS ({_twice(10)}), long AS ({_twice(51)}),
+    each AS (SELECT r, generate_subscripts(w, 1) AS i, length(unnest(w)) AS n FROM words),
+    marked AS (
+        SELECT r, n, max(coalesce(five.twice, false)) OVER (PARTITION BY r ORDER BY i ROWS 4 PRECEDING) AS a,
+            max(coalesce(ten.twice, false)) OVER (PARTITION BY r ORDER BY i ROWS 9 PRECEDING) AS b, coalesce(long.twice, false) AS c
+        FROM each LEFT JOIN five USING (r, i) LEFT JOIN ten USING (r, i) LEFT JOIN long USING (r, i)
+    ), sums AS (
+        SELECT r, sum(n)::BIGINT AS word_chars, count(*) FILTER (a) AS repeated, coalesce(sum(n) FILTER (b), 0)::BIGINT AS covered, bool_or(c) AS too_long FROM marked GROUP BY r
+    ), lines AS (
+        SELECT r, count(*) - count(DISTINCT line) AS dup FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs)
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+    ), judged AS (
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(word_chars, 0) AS word_chars, (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+            coalesce(dup, 0) AS n_dup_lines, coalesce(repeated, 0) AS n_repeat_words, len(w) < 10 OR 100 * coalesce(repeated, 0) > 20 * len(w) AS base_failed,
+            coalesce(covered, 0) AS covered_chars, coalesce(too_long, false) AS too_long
+        FROM words LEFT JOIN sums USING (r) LEFT JOIN lines USING (r)
+    )
+    SELECT * EXCLUDE (too_long), NOT base_failed AND 100 * covered_chars <= 25 * word_chars AND NOT too_long AS kept FROM judged
+    """
+)
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, repeated words and the verdict on repetition of every document."""
+    judged = with_repetition(table(spark, folder, "documents").select("doc_id", "text"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "covered_chars", "kept")
+    return judged.select("doc_id", *[f"repetition.{name}" for name in names])
