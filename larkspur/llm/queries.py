@@ -12,6 +12,7 @@ from larkspur.llm.common import table
 from larkspur.llm.credentials import ACCESS, ASSIGN, ENDPOINT, HEX, OPAQUE, STRONG, USER, find_secrets
 from larkspur.llm.language import fit_languages, fold_of, with_language
 from larkspur.llm.near_vectors import near_vectors
+from larkspur.llm.negatives import hard_negatives
 from larkspur.llm.ngram_join import ngram_components
 from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.pieces import with_decoded, with_piece_ids
@@ -256,3 +257,26 @@ def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = with_repetition(table(spark, folder, "documents").select("doc_id", "text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "covered_chars", "kept")
     return judged.select("doc_id", *[f"repetition.{name}" for name in names])
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score
+        FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+    ), positive AS (
+        SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+    )
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INT AS rank, other AS negative_id, positive_score, score AS negative_score
+    FROM positive JOIN scored USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 5
+    """
+)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Five positives of every hundredth vector and the five best rows of other labels that score close below each."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
