@@ -161,11 +161,11 @@ def hard_negatives(
     sizes = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
     length, n = (sizes["d"], sizes["count"]) if sizes else (0, 0)
     whole = rows.filter(F.size("x") == length).withColumn("x", F.transform("x", lambda v: F.floor(F.lit(float(scale)) * v)))
+    whole = staged(whole.groupBy("id").agg(F.min(F.struct("label", "x", "is_anchor")).alias("row")).select("id", "row.*"), "rows")  # copies go before the shuffle
     n_blocks = max(1, math.ceil(n / block_rows))
     share = min(1.0, sample_rows / max(n, 1))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.assign(key=[tuple(v) for v in group["x"]]).sort_values(["id", "label", "key"], kind="stable").drop_duplicates("id")
         vectors = np.stack(group["x"].to_numpy()).astype("<f8")
         return pd.DataFrame({"block": [group["block"].iloc[0]], "ids": [group["id"].to_numpy("<i8").tobytes()], "labels": [group["label"].tolist()], "vectors": [vectors.tobytes()]})
 
@@ -174,8 +174,7 @@ def hard_negatives(
     blocks = staged(dealt.select("block", "id", "label", "x").repartition(min(n_blocks, 100_000), "block").groupBy("block").applyInPandas(pack, packed), "blocks")
     few = F.pmod(F.xxhash64(F.col("id"), F.lit("sample")), F.lit(1 << 20)) < F.lit(int(math.ceil(share * (1 << 20))))
     sample = staged(whole.filter(few).select(F.lit(0).alias("block"), "id", "label", "x").groupBy("block").applyInPandas(pack, packed), "sample")
-    first = F.min(F.struct("label", "x")).alias("row")
-    anchors = staged(whole.filter("is_anchor").groupBy(F.col("id").alias("anchor")).agg(first).select("anchor", "row.label", "row.x"), "anchors")
+    anchors = whole.filter("is_anchor").select(F.col("id").alias("anchor"), "label", "x")
     n_anchors = anchors.count()
 
     fill = lambda windows, same: _filled(windows, blocks, sample, n_blocks, share, anchor_rows, n_anchors, k, same)

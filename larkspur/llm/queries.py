@@ -16,6 +16,7 @@ from larkspur.llm.negatives import hard_negatives
 from larkspur.llm.ngram_join import ngram_components
 from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.pieces import with_decoded, with_piece_ids
+from larkspur.llm.prefix_trie import conversation_turns, prefix_trie, with_shared_heads
 from larkspur.llm.repeats import with_repetition
 from larkspur.llm.small_world import nearest
 from larkspur.llm.surrogates import replace_entities
@@ -280,3 +281,36 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Five positives of every hundredth vector and the five best rows of other labels that score close below each."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+_CRC_STEP = "list_reduce(range(8), lambda s, i: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END, xor(a, b))"
+_CRC = f"xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda a, b: {_CRC_STEP}, 4294967295::BIGINT), 4294967295)"
+
+
+@query(
+    f"""
+    WITH plain AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+    keyed AS (SELECT conv_id, turn, left(sha256(length(role) || ':' || role || text), 32) AS k, length(text) AS n FROM plain),
+    own AS (SELECT conv_id, list({{'k': k, 'n': n}} ORDER BY turn NULLS FIRST, k) AS turns FROM keyed GROUP BY conv_id),
+    heads AS (SELECT conv_id, turns, {_CRC} % 6 AS h FROM own),
+    rebuilt AS (
+        SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+    ), steps AS (
+        SELECT conv_id, len(turns) AS size, d, array_to_string(list_transform(turns[1:d], lambda t: t.k), '') AS key, coalesce(turns[d].n, 0) AS n
+        FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+    ), nodes AS (
+        SELECT key, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256
+        FROM steps GROUP BY key, d
+    ), kids AS (SELECT left(key, 32 * (depth - 1)) AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+    subtree AS (
+        SELECT left(key, 32 * up) AS key, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+        FROM (SELECT key, unnest(range(0, depth + 1)) AS up, n_children IS NULL AS leaf, (n_convs - 1) * n AS saved FROM nodes LEFT JOIN kids USING (key)) GROUP BY 1
+    )
+    SELECT x.conv_id, x.depth, p.conv_id AS parent_conv_id, x.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, x.ends_sha256
+    FROM nodes x JOIN subtree USING (key) LEFT JOIN kids USING (key) LEFT JOIN nodes p ON x.depth > 0 AND p.key = left(x.key, 32 * (x.depth - 1))
+    """
+)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie(with_shared_heads(conversation_turns(table(spark, folder, "conversations"))))
