@@ -12,6 +12,7 @@ from larkspur.catalog.registry import query, r6, rounded
 from larkspur.functions import text as T
 from larkspur.operators import sampling as X, timeseries as W
 from larkspur.plans import evaluate as E, features as G, models as M
+from larkspur.session import written
 from larkspur.sources.readers import table
 
 # Regression
@@ -87,9 +88,9 @@ def forecast(spark, sf):
     ticks = table(spark, sf, "events")
     prices = dict.fromkeys(["open_", "high", "low", "close", "volume"], "value")
     bars = W.resample_ohlcv(ticks, "ts", "event_id", keys=["event_type"], period="hour", **prices)
-    rows = W.bar_features(bars, "ts", ["ts"], ["event_type"])
+    rows = W.bar_features(written(bars, "bars"), "ts", ["ts"], ["event_type"])
     names = "close_lag_1 close_lag_2 close_lag_5 close_lag_10 close_mean_5 close_mean_20 close_std_20 volume_mean_20 price_range month day_of_week".split()
-    rows = rows.select("ts", "event_type", "close", "target_close", *names)
+    rows = written(rows.select("ts", "event_type", "close", "target_close", *names), "features")
     split = W.chronological_split(rows, ["ts", "event_type"], 0.8)
     scores = []
     with M.held(split) as kept:

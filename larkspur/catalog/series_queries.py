@@ -8,6 +8,7 @@ from larkspur.catalog.registry import query, r6, rounded
 from larkspur.operators import sampling as X, timeseries as W
 from larkspur.operators.ordered import row_numbers, window_columns
 from larkspur.plans.models import held
+from larkspur.session import written
 from larkspur.sources.readers import table
 
 _ORDER = ["ts", "event_id"]
@@ -224,7 +225,7 @@ SELECT event_type, date, "close", round(ret, 6) AS daily_return, round(z, 6) AS
 @query("A16 W3 W12", _DAILY)
 def daily_return_anomalies(spark, sf):
     """Events to daily bars per type, their returns, and the days more than two deviations out."""
-    bars = _bars(_events(spark, sf), ["event_type"])
+    bars = written(_bars(_events(spark, sf), ["event_type"]), "bars")
     out = W.with_returns(bars, "close", ["date"], ["event_type"], name="daily_return")
     found = W.anomalies(out, "daily_return", 2.0, ["event_type"])
     return rounded(found, "daily_return", "zscore").select("event_type", "date", "close", "daily_return", "zscore")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from larkspur.operators.lookups import lookup_join
 from larkspur.operators.ordered import running_total
 from larkspur.operators.quality import per_column
+from larkspur.session import written
 
 
 def table_size(df: DataFrame) -> DataFrame:
@@ -312,13 +313,13 @@ def _matrix_to_long(row: DataFrame, cols: Sequence[str]) -> DataFrame:
 def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, value, n, rank)``: distinct values, their row count and average 1-based rank."""
     counted = group_count(_long_values(df, cols), "column", "value")
-    ranked = running_total(counted, {"upto": F.col("n")}, ["value", "n"], ["column"], size_of=df)
+    ranked = running_total(written(counted, "values"), {"upto": F.col("n")}, ["value", "n"], ["column"])
     return ranked.select("column", "value", "n", (F.col("upto") - (F.col("n") - 1) / F.lit(2.0)).alias("rank"))
 
 
 def _rank_correlations(rows: DataFrame, cols: Sequence[str]) -> list[tuple[str, str, float | None]]:
     """Pearson over average ranks of rows in which every column is present."""
-    ranks = average_ranks(rows, cols)
+    ranks = written(average_ranks(rows, cols), "ranks")
     ranked = rows
     for c in cols:
         of_c = ranks.filter(F.col("column") == c).select(F.col("value").alias(c), F.col("rank").alias(f"__r_{c}"))

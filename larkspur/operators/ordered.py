@@ -5,13 +5,22 @@
 rows.  Here the total order ``(keys, order columns)`` is cut into contiguous
 range buckets of similar size, so one long series spans many tasks:
 
-* bucket edges come from a hash sample of the order columns.  Their number
-  follows the rows of the table, the sample is sorted and numbered in parallel,
-  and only the edges reach the driver, to become a literal of the plan;
+* one pass over the order columns draws a sample and sizes the table.  A row
+  has a level from its hash (level ``l`` with a chance of one in ``2**(l+1)``);
+  a partition keeps every row at first and asks for one level more each time
+  its rows double, so what it keeps grows with the logarithm of its rows.  All
+  rows from some level up form an even sample, and the levels asked for tell
+  how many rows there are.  The input is read once for this and once for the
+  result;
 * an edge is placed every ``spacing`` sampled rows.  Between two edges there
   are at least ``spacing`` rows, and the row ``k`` samples before an edge has
   at least ``k`` rows between itself and the edge.  That makes it a safe start
   for a halo of ``k`` rows without counting anything;
+* edges are a directory of two levels: at most ``_COARSE`` coarse edges are a
+  literal of the plan, whose size so does not follow the rows, and the edges
+  between two coarse ones are a row of a written table, joined by the coarse
+  range (broadcast if its measured size is small, else by a shuffle whose heavy
+  ranges the skew join cuts).  A row finds its bucket by two binary searches;
 * halo rows are copied into the neighbouring bucket by one ``explode``, the
   window runs on ``(bucket, keys)``, and the copies are dropped.
 
@@ -27,23 +36,38 @@ from typing import NamedTuple
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from larkspur.session import written
+
 _BUCKET, _HALO, _COPY = "__bucket", "__halo", "__copy"
 _BUCKET_ROWS = 1_000_000  # rows of a bucket that the number of buckets aims at
 _SPACING = 32  # sampled rows between two edges where no frame asks for more
+_KEPT = 4_096  # rows of a partition that are kept before the sample thins
 _SAMPLE_PART = 200_000  # sampled rows that one task numbers
+_COARSE = 256  # edges in the plan
 _LONGEST = 10_000_000  # rows of a frame, which one task must hold
 _EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+_KINDS = ("low", "at", "high")  # where halos start, buckets start, and halos end
 
 Build = Callable[[WindowSpec], dict[str, Column]]
 
 
-class Edges(NamedTuple):
-    """Sorted literal arrays: where halos start, buckets start, and halos end."""
+class Directory(NamedTuple):
+    """Coarse edges as sorted literal arrays; ``fine`` has, per range between coarse edges ``at``, the edges of each kind and how many come before."""
+
+    coarse: dict[str, Column]
+    n_coarse: int
+    fine: DataFrame | None
+    n_fine: int
 
-    n: int
-    low: Column
-    at: Column
-    high: Column
+
+def _sample(keys: DataFrame, order: Sequence[str], kept: int) -> DataFrame:
+    """Rows ``(p, level, asked)`` that pass the level their partition asks for at their place in it."""
+    drawn = F.xxhash64(*order)
+    lowest = drawn.bitwiseAND(F.try_subtract(F.lit(0).cast("long"), drawn))  # a power of two; null for the least long
+    level = F.coalesce(F.bit_count(lowest - 1), F.lit(63))  # zeros at the end of the hash
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    asked = F.when(place < kept, 0).otherwise(F.floor(F.log2(place / F.lit(float(kept)))).cast("int") + 1)
+    return keys.select(F.struct(*order).alias("p"), level.alias("level"), asked.alias("asked")).filter("level >= asked")
 
 
 def _numbered(sampled: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
@@ -57,85 +81,119 @@ def _numbered(sampled: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     local = ranged.withColumn("at", F.monotonically_increasing_id()).withColumns(
         {"part": F.shiftright("at", 33), "at": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))}
     ).persist(StorageLevel.MEMORY_AND_DISK)
+    if parts == 1:
+        return local.select("p", F.col("at").alias("i")), local
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
     shifts = local.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("shift"))
     return local.join(shifts, "part").select("p", (F.col("at") + F.col("shift")).alias("i")), local
 
 
-def _sampled_edges(
-    df: DataFrame, order: Sequence[str], before: int, after: int, buckets: int | None, size_of: DataFrame | None
-) -> Edges | None:
+def _plan(df: DataFrame, reach: int, buckets: int | None, rows: int) -> tuple[int, int]:
+    """Level of the sample and sampled rows between two edges, for a table of about ``rows`` rows."""
+    wanted = buckets or max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // _BUCKET_ROWS))
+    # samples between two edges: four frames, so that halos stay a small share, unless that leaves too few rows for two buckets
+    spacing = max(min(4 * reach, rows // 2), reach, 1) if reach > 1 else _SPACING
+    if reach <= 1 and rows < wanted * spacing:
+        spacing = max(1, rows // wanted)
+    return max(1, rows // (wanted * spacing)).bit_length() - 1, max(spacing, rows // wanted)
+
+
+def _directory(df: DataFrame, order: Sequence[str], before: int, after: int, buckets: int | None) -> Directory | None:
     """Edges of about ``buckets`` ranges.  None if the rows are fewer than a frame reaches, or no two rows differ in the order columns."""
-    keys, reach = df.select(*order), max(before, after, 1)
+    reach = max(before, after, 1)
     if reach > _LONGEST:
         raise ValueError(f"a frame of {reach} rows must fit into a task; at most {_LONGEST} rows are supported")
-    n_rows = (size_of if size_of is not None else keys).count()
-    wanted = buckets or max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // _BUCKET_ROWS))
-    # samples between two edges: four frames, so that halos stay a small share, unless that leaves too few rows for two buckets
-    spacing = max(min(4 * reach, n_rows // 2), reach, 1) if reach > 1 else _SPACING
-    if reach <= 1 and n_rows < wanted * spacing:
-        spacing = max(1, n_rows // wanted)
-    every = max(1, n_rows // (wanted * spacing))
-    sampled = keys.filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).select(F.struct(*order).alias("p"))
-    numbered, held = _numbered(sampled, n_rows // every)
+    held = [_sample(df.select(*order), order, max(_KEPT, 8 * reach)).persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        last = numbered.agg(F.max("i")).first()[0]
-        if last is None or last + 1 < 2 * spacing:
+        kept = held[0].groupBy("level").agg(F.count("*").alias("n"), F.sum(F.pow(F.lit(2.0), F.col("asked"))).alias("rows"), F.max("asked").alias("asked")).collect()  # a row per level
+        level, per_bucket = _plan(df, reach, buckets, round(sum(r["rows"] for r in kept)))
+        level = max([level, *[r["asked"] for r in kept]])
+        spacing = max(reach if reach > 1 else 1, per_bucket >> level)
+        rows = sum(r["n"] for r in kept if r["level"] >= level)
+        numbered, local = _numbered(held[0].filter(F.col("level") >= level).select("p"), rows)
+        held.append(local)
+        every = max(1, -(-(rows // spacing) // _COARSE))  # edges from one coarse edge to the next
+        shifts = dict(zip(_KINDS, (-before, 0, after)))
+
+        def edge(kind: str, step: int = 1) -> Column:
+            """The point's number among the edges of its kind (from 1), null if it is none."""
+            place = F.col("i") - shifts[kind]
+            return F.when((place >= spacing) & (place % (spacing * step) == 0), F.floor(place / spacing))
+
+        spots = [F.collect_list(F.when(edge(k, every).isNotNull(), F.struct(edge(k, every).alias("e"), "p"))).alias(k) for k in _KINDS]
+        found = numbered.agg(F.max("i").alias("last"), *spots)
+        n_edges = F.floor((F.col("last") + 1 - spacing) / spacing)
+        real = [F.sort_array(F.transform(F.filter(k, lambda x: x["e"] <= n_edges), lambda x: x["p"])).alias(k) for k in _KINDS]
+        found = found.select(n_edges.alias("n"), F.struct(*real).alias("edges")).select("n", F.to_json("edges", _EXACT).alias("text"), F.size("edges.at").alias("coarse"), "edges")
+        row = found.select("n", "text", "coarse").first()
+        if row["n"] is None or row["n"] < 1:
             return None
-        kinds = {"low": -before, "at": 0, "high": after}
-        spots = [F.when((F.col("i") - shift >= spacing) & (F.col("i") - shift <= last + 1 - spacing) & ((F.col("i") - shift) % spacing == 0), F.col("p")).alias(k) for k, shift in kinds.items()]
-        edges = numbered.select(*spots).agg(F.struct(*[F.sort_array(F.collect_list(k)).alias(k) for k in kinds]).alias("edges"))  # three rows per edge
-        edges = edges.select("edges", F.size("edges.at").alias("n"))
-        found = edges.select(F.to_json("edges", _EXACT), "n").first()
+        literal = F.from_json(F.lit(row["text"]), found.schema["edges"].dataType, _EXACT)
+        coarse = Directory({k: literal[k] for k in _KINDS}, row["coarse"], None, 0)
+        if every == 1:
+            return coarse
+        # the edges of a kind that lie in a coarse range, in order, and how many lie before
+        points = numbered.select("p", F.explode(F.array_compact(F.array(*[F.when(edge(k) <= row["n"], F.struct(F.lit(k).alias("kind"), edge(k).alias("e"))) for k in _KINDS]))).alias("x"))
+        placed = _search(points.select("p", "x.*"), F.col("p"), coarse.coarse["at"], coarse.n_coarse, "__range")
+        lists = placed.groupBy("__range").agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.col("p")))).alias(k) for k in _KINDS])
+        earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per coarse range
+        counted = lists.select("*", *[F.coalesce(F.sum(F.size(k)).over(earlier), F.lit(0)).cast("int").alias(f"n_{k}") for k in _KINDS])
+        fine = written(counted, "edges")
+        return coarse._replace(fine=fine, n_fine=fine.agg(F.max(F.greatest(*[F.size(k) for k in _KINDS]))).first()[0])
     finally:
-        held.unpersist()
-    if not found[1] or found[1] < 1:
-        return None
-    literal = F.from_json(F.lit(found[0]), edges.schema["edges"].dataType, _EXACT)
-    return Edges(found[1], literal["low"], literal["at"], literal["high"])
+        for frame in held:
+            frame.unpersist()
 
 
-def _with_position(df: DataFrame, edges: Edges, array: Column, order: Sequence[str], name: str) -> DataFrame:
-    """Add how many entries of a sorted edge array are at or below the row, by binary search.
+def _search(df: DataFrame, point: Column, array: Column, longest: int, name: str) -> DataFrame:
+    """Add how many entries of a sorted array are at or below the point, by binary search.
 
     One projection per step keeps the search in generated code; a higher-order
     function over the array is interpreted and takes ten times as long.
     """
-    point = F.struct(*order)
     df = df.withColumn(name, F.lit(0))
-    for jump in [1 << i for i in reversed(range(edges.n.bit_length()))]:
+    for jump in [1 << i for i in reversed(range(longest.bit_length()))]:
         df = df.withColumn(name, F.col(name) + F.when(F.get(array, F.col(name) + (jump - 1)) <= point, jump).otherwise(0))
     return df
 
 
+def _placed(df: DataFrame, directory: Directory, order: Sequence[str], names: dict[str, str]) -> DataFrame:
+    """Add, per wanted kind, how many of its edges are at or below the row, under the given name."""
+    point = F.struct(*order)
+    if directory.fine is None:
+        for kind, name in names.items():
+            df = _search(df, point, directory.coarse[kind], directory.n_coarse, name)
+        return df
+    columns = df.columns
+    df = _search(df, point, directory.coarse["at"], directory.n_coarse, "__range")
+    fine = directory.fine.select("__range", *[c for k in names for c in (F.col(k).alias(f"__{k}"), F.col(f"n_{k}").alias(f"__n_{k}"))])
+    df = df.join(fine, "__range", "left")
+    for kind, name in names.items():
+        df = _search(df, point, F.col(f"__{kind}"), directory.n_fine, name)
+    return df.select(*columns, *[(F.col(name) + F.coalesce(f"__n_{kind}", F.lit(0))).alias(name) for kind, name in names.items()])
+
+
 def range_buckets(
     df: DataFrame,
     order: Sequence[str],
     before: int = 0,
     after: int = 0,
     buckets: int | None = None,
-    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with ``__bucket``; rows near an edge also appear in the neighbour with ``__halo`` true.
 
     A row belongs to the bucket given by the number of edges at or below it.
     Counting halo starts instead may give the next bucket, counting halo ends
     the previous one; the row is copied to every bucket between the two.
-    ``size_of`` is a frame with at least as many rows that is cheaper to count.
     """
-    edges = _sampled_edges(df, order, before, after, buckets, size_of)
-    if edges is None:
+    directory = _directory(df, order, before, after, buckets)
+    if directory is None:
         return df.withColumns({_BUCKET: F.lit(0), _HALO: F.lit(False)})
-    placed = _with_position(df, edges, edges.at, order, _BUCKET)
+    names = {"at": _BUCKET} | ({"high": "__first"} if after else {}) | ({"low": "__last"} if before else {})
+    placed = _placed(df, directory, order, names)
     if not before and not after:
         return placed.withColumn(_HALO, F.lit(False))
-    first = last = _BUCKET
-    if after:
-        first = "__first"
-        placed = _with_position(placed, edges, edges.high, order, first)
-    if before:
-        last = "__last"
-        placed = _with_position(placed, edges, edges.low, order, last)
+    first, last = names.get("high", _BUCKET), names.get("low", _BUCKET)
     return (
         placed.withColumn(_COPY, F.explode(F.sequence(first, last)))
         .withColumn(_HALO, F.col(_COPY) != F.col(_BUCKET))
@@ -174,7 +232,6 @@ def running_total(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     buckets: int | None = None,
-    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add inclusive running sums ``{name: value column}`` over the whole order.
 
@@ -184,11 +241,11 @@ def running_total(
     """
     keys = list(partition_by)
     values = {n: (F.col(c) if isinstance(c, str) else c) for n, c in sums.items()}
-    edges = _sampled_edges(df, [*keys, *order_by], 0, 0, buckets, size_of)
-    if edges is None:
+    directory = _directory(df, [*keys, *order_by], 0, 0, buckets)
+    if directory is None:
         window = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(v).over(window) for n, v in values.items()})
-    placed = _with_position(df, edges, edges.at, [*keys, *order_by], _BUCKET)
+    placed = _placed(df, directory, [*keys, *order_by], {"at": _BUCKET})
     totals = placed.groupBy(_BUCKET, *keys).agg(*[F.sum(v).alias(f"__t_{n}") for n, v in values.items()])
     earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carried = (

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larkspur.operators.aggregates import contingency
 from larkspur.operators.ordered import running_total
+from larkspur.session import written
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -96,7 +97,7 @@ def _score_totals(df: DataFrame, score: str, label: str, positive: object) -> Da
     per_score = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg")
     )
-    falling = per_score.withColumn("__down", -F.col("score"))
+    falling = written(per_score, "scores").withColumn("__down", -F.col("score"))
     return running_total(falling, {"tp": F.col("pos"), "fp": F.col("neg"), "rank": F.lit(1).cast("long")}, ["__down"]).drop("__down")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from larkspur.operators.lookups import lookup_join
 from larkspur.operators.ordered import row_numbers
+from larkspur.session import written
 
 
 ANY_SIZE = 2**31 - 1  # the estimator must be given a size; this one cuts nothing
@@ -46,7 +47,7 @@ def indexer(source: str, output: str, alphabetical: bool = False, unseen: str =
 def category_index(df: DataFrame, col: str) -> DataFrame:
     """``(value, n, index)`` in the order of :func:`indexer`, for any number of categories."""
     counted = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    ranked = row_numbers(counted.withColumn("__less", -F.col("n")), ["__less", col], name="index")
+    ranked = row_numbers(written(counted, "categories").withColumn("__less", -F.col("n")), ["__less", col], name="index")
     return ranked.select(col, "n", (F.col("index") - 1).alias("index"))
 
 

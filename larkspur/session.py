@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}  # application id -> folder made for it
 _SCRATCH: set[str] = set()
@@ -60,6 +60,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame under :func:`shared_dir` and read it back: computed once, and its lineage ends at files that outlive executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote with :func:`scratch_path`; called when Python exits if the session still runs."""
     if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():

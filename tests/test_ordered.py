@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
+from larkspur.operators import ordered
 from larkspur.operators.ordered import range_buckets, row_numbers, running_total, window_columns
 from larkspur.operators.timeseries import chronological_split
 
@@ -32,8 +33,9 @@ def columns(w):
 
 
 @pytest.mark.parametrize("keys", [[], ["key"]])
-@pytest.mark.parametrize("buckets", [1, 5, 40])
-def test_halo_windows_equal_plain_windows(spark, rows, keys, buckets):
+@pytest.mark.parametrize("buckets,coarse", [(1, 256), (5, 256), (40, 256), (40, 4), (100, 1)])
+def test_halo_windows_equal_plain_windows(spark, rows, monkeypatch, keys, buckets, coarse):
+    monkeypatch.setattr(ordered, "_COARSE", coarse)
     df = skewed(spark)
     halo = window_columns(df, columns, ["ts", "id"], keys, before=9, after=2, buckets=buckets)
     plain = df.withColumns(columns(Window.partitionBy(*keys).orderBy("ts", "id")))
@@ -63,8 +65,10 @@ def test_every_row_is_core_once(spark):
 
 
 @pytest.mark.parametrize("keys", [[], ["key"]])
-@pytest.mark.parametrize("buckets", [None, 25])
-def test_row_numbers(spark, rows, keys, buckets):
+@pytest.mark.parametrize("buckets,coarse,kept", [(None, 256, 4096), (25, 256, 4096), (200, 8, 4096), (60, 8, 100)])
+def test_row_numbers(spark, rows, monkeypatch, keys, buckets, coarse, kept):
+    monkeypatch.setattr(ordered, "_COARSE", coarse)
+    monkeypatch.setattr(ordered, "_KEPT", kept)
     df = skewed(spark)
     plain = df.withColumn("row_num", F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "id")).cast("long"))
     assert rows(row_numbers(df, ["ts", "id"], keys, buckets=buckets)) == rows(plain)
@@ -119,8 +123,24 @@ def test_a_frame_too_long_for_a_task_is_refused(spark):
 
 
 def test_bucket_number_follows_the_rows(spark, monkeypatch):
-    from larkspur.operators import ordered
-
     monkeypatch.setattr(ordered, "_BUCKET_ROWS", 1000)
     counts = [range_buckets(spark.range(n), ["id"]).select("__bucket").distinct().count() for n in (20_000, 100_000)]
     assert 15 <= counts[0] <= 25 and 80 <= counts[1] <= 120
+
+
+def test_the_plan_does_not_grow_with_the_buckets(spark):
+    """20,000 buckets: the directory has at most 256 edges in the plan, the rest in a table."""
+    sizes = []
+    for buckets in (2_000, 20_000):
+        spread = range_buckets(spark.range(0, 400_000, 1, 8).selectExpr("id * 7919 AS ts", "id"), ["ts", "id"], buckets=buckets)
+        sizes.append(len(spread._jdf.queryExecution().logical().toString()))
+        per_bucket = [r["count"] for r in spread.groupBy("__bucket").count().collect()]
+        assert sum(per_bucket) == 400_000 and 0.5 * buckets < len(per_bucket) < 2.1 * buckets and max(per_bucket) < 12 * 400_000 / buckets
+    assert sizes[1] < 1.2 * sizes[0]
+
+
+def test_the_sample_stays_small_and_sizes_the_table(spark):
+    df = spark.range(0, 2_000_000, 1, 4).selectExpr("id AS ts", "id")
+    held = ordered._sample(df, ["ts", "id"], 1_000)
+    found = held.selectExpr("count(*) AS n", "sum(pow(2, asked)) AS rows").first()
+    assert found["n"] < 4 * 1_000 * 8 and abs(found["rows"] - 2_000_000) < 150_000
