@@ -2,19 +2,27 @@
 
 A rotation of the principal directions is learned on a bounded sample
 (``fit_rows`` rows drawn by a hash of the id) so that the signs of a rotated
-vector make a balanced binary code.  The code is cut into substrings of
-``key_bits``, once contiguously and once strided, and every vector enters one
+vector make a balanced binary code.  The code is cut into substrings, once
+contiguously and then after shuffles of its bits, and every vector enters one
 table per substring; vectors that agree on a substring of one table, but for
 one bit at most, and on the label meet in a bucket: besides its own key, a
 vector probes the keys with one of its set bits cleared, so that a pair one bit
-apart meets once, at the key without the bit.  There the original vectors are
-compared in double precision.  A pair that meets in several tables counts in the first.
+apart meets once, at the key without the bit.  Substrings are as long as the
+logarithm of the largest label's classes asks for, so that chance meetings per
+vector stay as many while rows grow; tables are added until a pair at the
+threshold would miss all of them with a chance of ``miss`` at most (bits taken
+as independent).
+
+Of the vectors that meet, those whose whole codes differ in more bits than a
+pair at the threshold would with a chance of one in a million go; this reads
+codes alone.  The rest are compared by their original vectors in double
+precision, and a pair that meets in several tables counts in the first.
 
 Equal vectors of a label are one class with a multiplicity, so copies are never
 paired up.  A bucket of more than ``block`` classes is cut into blocks and each
 pair of blocks is a group of its own: no group grows with the data, and all
-pairs are still compared.  Buckets put out a link count and one edge per class,
-not their pairs.  ``key_bits`` should grow with the logarithm of the row count.
+pairs are still compared.  A task reads its groups in order, many in one batch.
+Buckets put out a link count and one edge per class, not their pairs.
 
 Defined cases: vectors that are null, hold null, NaN or infinite components, or
 only zeros, or have another length than the most frequent one, and rows with a
@@ -25,8 +33,12 @@ component that is not kept; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm.common import components, staged
@@ -51,27 +63,72 @@ def learn_rotation(sample: np.ndarray, rounds: int = 50, seed: int = 0) -> tuple
     return mean, main @ rotation
 
 
-def substrings(bits: int, key_bits: int) -> list[list[int]]:
-    """Bit positions of each table: contiguous cuts of the code, then strided ones."""
-    n = max(1, -(-bits // key_bits))
-    contiguous = [list(map(int, x)) for x in np.array_split(np.arange(bits), n)]
-    return contiguous + ([list(range(i, bits, n)) for i in range(n)] if n > 1 else [])
-
-
-def _components_of(near: np.ndarray) -> np.ndarray:
-    """Smallest index reachable in a symmetric boolean matrix, per row."""
-    labels = np.arange(len(near))
-    while True:
-        spread = np.minimum(labels, np.where(near, labels[None, :], len(near)).min(axis=1))
-        spread = spread[spread]
-        if (spread == labels).all():
-            return labels
-        labels = spread
+def code_tables(bits: int, classes: int, threshold: float, miss: float = 0.002, seed: int = 0) -> list[list[int]]:
+    """Bit positions of each table: as many equal cuts as keys of ``log2(classes)`` bits allow, over as many orders of the bits as ``miss`` asks for."""
+    cuts = max(min(2, bits), bits // max(8, math.ceil(math.log2(max(classes, 2)))))
+    flip = math.acos(threshold) / math.pi
+    stay = lambda k: (1 - flip) ** k + k * flip * (1 - flip) ** (k - 1)  # noqa: E731  # k bits agree but for one
+    missed, order, draw, tables = 1.0, np.arange(bits), np.random.default_rng(seed), []
+    while missed > miss or len(tables) < 2 * cuts:
+        cut = [sorted(map(int, x)) for x in np.array_split(order, cuts)]
+        tables += cut
+        missed *= math.prod(1 - stay(len(x)) for x in cut)
+        order = draw.permutation(bits)
+    return tables
+
+
+def code_distance(bits: int, threshold: float, miss: float = 1e-6) -> int:
+    """Bits that a pair at the threshold exceeds with a chance of ``miss`` at most, if bits flip independently."""
+    flip, tail, k = math.acos(threshold) / math.pi, 1.0, -1
+    while tail > miss and k < bits:
+        k += 1
+        tail -= math.comb(bits, k) * flip**k * (1 - flip) ** (bits - k)
+    return k
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of rows that arrive sorted by ``keys``, with the starts of their groups and the end."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
+        if not len(table):
+            continue
+        columns = [table.column(k).to_numpy() for k in keys]
+        starts = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)]))
+        if len(starts) > 1:
+            yield table.slice(0, starts[-1]), starts
+        rest = table.slice(starts[-1])
+    if rest is not None and len(rest):
+        yield rest, np.array([0, len(rest)])
+
+
+def _met_pairs(table: pa.Table, starts: np.ndarray, tables: list[list[int]], furthest: int, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of the groups that count: of two blocks if the group has two, one of them at home, codes near, and not met in an earlier table."""
+    code, home, part, i, j, t = (table.column(c).to_numpy() for c in ("code", "home", "part", "i", "j", "t"))
+    masks = [np.int64(np.uint64(sum(1 << b for b in bits)).astype("i8")) for bits in tables]
+    sizes = np.diff(starts)
+    first = np.repeat(starts[:-1], sizes)
+    partners = np.arange(starts[-1]) - first  # each row pairs with the rows of its group before it
+    begin, done = 0, np.concatenate([[0], np.cumsum(partners)])
+    while begin < len(partners):
+        end = max(begin + 1, int(np.searchsorted(done, done[begin] + most, side="right")) - 1)
+        counts = partners[begin:end]
+        x = np.repeat(np.arange(begin, end), counts)
+        y = np.repeat(first[begin:end], counts) + np.arange(len(x)) - np.repeat(done[begin:end] - done[begin], counts)
+        apart = code[x] ^ code[y]
+        good = (home[x] | home[y]) & ((i[x] == j[x]) | (part[x] != part[y])) & (np.bitwise_count(apart.view("u8")) <= furthest)
+        x, y, apart = x[good], y[good], apart[good]
+        for earlier, mask in enumerate(masks):
+            new = (t[x] <= earlier) | (np.bitwise_count((apart & mask).view("u8")) > 1)
+            x, y, apart = x[new], y[new], apart[new]
+        yield x, y
+        begin = end
 
 
 def near_vectors(
     df: DataFrame, threshold: float = 0.98, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label",
-    fit_rows: int = 20_000, key_bits: int = 16, block: int = 1_024,
+    fit_rows: int = 20_000, block: int = 256,
 ) -> DataFrame:
     """One row per id: ``vec_id, n_links, component_id, kept``."""
     spark = df.sparkSession
@@ -91,50 +148,70 @@ def near_vectors(
     sampled = classes.filter(F.pmod(F.xxhash64("rep"), F.lit(share)) < F.lit(max(1, min(share, share * fit_rows // max(total, 1))))).select("v").limit(2 * fit_rows)
     sample = np.array([r["v"] for r in sampled.collect()] or [r["v"] for r in classes.select("v").limit(1).collect()])
     mean, projection = learn_rotation(sample)
-    tables = substrings(projection.shape[1], key_bits)
+    bits = projection.shape[1]
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]
+    tables, furthest = code_tables(bits, largest, threshold), code_distance(bits, threshold)
 
-    @F.pandas_udf("array<int>")
-    def keys_of(vectors: pd.Series) -> pd.Series:
+    @F.pandas_udf("code long, keys array<long>")
+    def codes_of(vectors: pd.Series) -> pd.DataFrame:
         signs = (np.stack(vectors.to_numpy()) - mean) @ projection >= 0
-        return pd.Series(list(np.stack([signs[:, t] @ (1 << np.arange(len(t))) for t in tables], axis=1).astype("i4")))
+        code = (signs.astype("u8") << np.arange(bits, dtype="u8")).sum(axis=1, dtype="u8").view("i8")
+        keys = np.stack([signs[:, t] @ (1 << np.arange(len(t))) for t in tables], axis=1).astype("i8")
+        return pd.DataFrame({"code": code, "keys": list(keys)})
 
-    coded = staged(classes.withColumn("keys", keys_of("v")), "codes")
-    own = coded.select("c", "label", F.posexplode("keys").alias("t", "key"), F.lit(True).alias("home"))
+    coded = staged(classes.withColumn("codes", codes_of("v")).select("c", "label", "rep", "n", "v", "codes.*"), "codes")
+    own = coded.select("c", "label", "code", F.posexplode("keys").alias("t", "key"), F.lit(True).alias("home"))
     set_bits = F.filter(F.array(*[F.col("key").bitwiseAND(F.lit(1 << b)) for b in range(max(map(len, tables)))]), lambda bit: bit > 0)
-    probes = own.withColumn("bit", F.explode(set_bits)).select("c", "label", "t", (F.col("key") - F.col("bit")).alias("key"), F.lit(False).alias("home"))
+    probes = own.withColumn("bit", F.explode(set_bits)).select("c", "label", "code", "t", (F.col("key") - F.col("bit")).alias("key"), F.lit(False).alias("home"))
     entries = own.unionByName(probes)
     bucket = ["label", "t", "key"]
-    sizes = entries.groupBy(*bucket).agg(F.count("*").alias("size"), F.max("home").alias("used")).filter("size > 1 and used").drop("used").withColumn("parts", F.ceil(F.col("size") / block).cast("int"))
+    sizes = entries.groupBy(*bucket).agg(F.count("*").alias("size"), F.max("home").alias("used")).filter("size > 1 and used")
+    sizes = staged(sizes.select(*bucket, F.ceil(F.col("size") / block).cast("int").alias("parts"), F.monotonically_increasing_id().alias("b")), "buckets")
     dealt = entries.join(sizes, bucket).withColumn("part", F.pmod(F.xxhash64("c", "t"), F.col("parts")).cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "c", "label", "t", "key", "home", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
+        "c", "label", "code", "t", "b", "home", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
     )
-    full = paired.join(coded.select("c", "label", "rep", "n", "v", "keys"), ["c", "label"])
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.stack(group["v"].to_numpy())
-        lengths = np.sqrt((vectors * vectors).sum(1))
-        near = (vectors @ vectors.T) / np.outer(lengths, lengths) >= threshold
-        np.fill_diagonal(near, False)
-        if group["i"].iloc[0] != group["j"].iloc[0]:
-            part = group["part"].to_numpy()
-            near &= part[:, None] != part[None, :]
-        home = group["home"].to_numpy()
-        near &= home[:, None] | home[None, :]
-        keys, t = np.stack(group["keys"].to_numpy()), int(group["t"].iloc[0])
-        for earlier in range(t):
-            apart = keys[:, earlier][:, None] ^ keys[:, earlier][None, :]
-            near &= (apart & (apart - 1)) != 0  # more than one bit, so they did not meet there
-        reps = group["rep"].to_numpy()
-        order = np.argsort(reps, kind="stable")
-        root = np.empty(len(reps), "i8")
-        root[order] = reps[order][_components_of(near[np.ix_(order, order)])]
-        links = near @ group["n"].to_numpy()
-        found = near.any(axis=1)
-        return pd.DataFrame({"c": group["c"], "label": group["label"], "rep": reps, "links": links, "root": root})[found]
-
+    group = ("b", "i", "j")
     label_type = classes.schema["label"].dataType.simpleString()
-    found = staged(full.groupBy(*bucket, "i", "j").applyInPandas(compare, f"c long, label {label_type}, rep long, links long, root long"), "links")
+    entry_type = f"c long, label {label_type}, code long, t int, b long, home boolean, part int, i int, j int"
+
+    def near_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in _whole_groups(batches, group):
+            kept = np.zeros(len(table), bool)
+            for x, y in _met_pairs(table, starts, tables, furthest):
+                kept[x] = kept[y] = True
+            if kept.any():
+                yield from table.filter(pa.array(kept)).to_batches()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in _whole_groups(batches, group):
+            vectors = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+            lengths = np.sqrt((vectors * vectors).sum(1))
+            n, reps = table.column("n").to_numpy(), table.column("rep").to_numpy()
+            links, root = np.zeros(len(table), "i8"), reps.copy()
+            near_x, near_y = [], []
+            for x, y in _met_pairs(table, starts, tables, furthest, 1 << 15):
+                near = (vectors[x] * vectors[y]).sum(1) / (lengths[x] * lengths[y]) >= threshold
+                near_x.append(x[near])
+                near_y.append(y[near])
+            x, y = np.concatenate([np.zeros(0, "i8"), *near_x]), np.concatenate([np.zeros(0, "i8"), *near_y])
+            np.add.at(links, x, n[y])
+            np.add.at(links, y, n[x])
+            while len(x):  # the smallest representative of each linked part of a group
+                least = np.minimum(root[x], root[y])
+                if (root[x] == least).all() and (root[y] == least).all():
+                    break
+                np.minimum.at(root, x, least)
+                np.minimum.at(root, y, least)
+            found = pa.array(links > 0)
+            out = table.select(["c", "label", "rep"]).append_column("links", pa.array(links)).append_column("root", pa.array(root)).filter(found)
+            if len(out):
+                yield from out.to_batches()
+
+    sort = lambda rows: rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *group).sortWithinPartitions(*group)
+    close = staged(sort(paired).mapInArrow(near_codes, entry_type), "close")
+    full = close.join(coded.select("c", "label", "rep", "n", "v"), ["c", "label"])
+    found = staged(sort(full).mapInArrow(compare, f"c long, label {label_type}, rep long, links long, root long"), "links")
 
     counts = found.groupBy("c", "label").agg(F.sum("links").alias("links"))
     per_class = classes.select("c", "label", "n").join(counts, ["c", "label"], "left").select("c", "label", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from larkspur.llm import credentials, ngram_join, surrogates
 from larkspur.llm.common import components
 from larkspur.llm.language import fit_languages, with_language
-from larkspur.llm.near_vectors import learn_rotation, near_vectors, substrings
+from larkspur.llm.near_vectors import code_distance, code_tables, learn_rotation, near_vectors
 from larkspur.llm.ngram_join import ngram_components
 from larkspur.llm.shingles import shingle_sets
 from larkspur.llm.small_world import Graph, build_graph, nearest, search_graph
@@ -244,7 +244,7 @@ def test_near_vectors(spark, block):
     ids = {i for i, _, _ in rows}
     n = {i: len({x for pair in links if i in pair for x in pair} - {i}) for i in ids}
     expected = roots(ids - {None}, links)
-    found = near_vectors(vectors(spark, rows).repartition(3), key_bits=4, block=block).collect()
+    found = near_vectors(vectors(spark, rows).repartition(3), block=block).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found} == {i: (n[i], expected.get(i), expected.get(i) == i and i is not None) for i in ids}
     assert len(found) == len(ids)
 
@@ -274,10 +274,20 @@ def test_rotation_balances_the_bits():
     mean, projection = learn_rotation(sample)
     signs = (sample - mean) @ projection >= 0
     assert np.abs(signs.mean(axis=0) - 0.5).max() < 0.06
-    tables = substrings(64, 16)
+    tables = code_tables(64, 40_000, 0.98)
     assert len(tables) == 8 and sorted(sum(tables[:4], [])) == sorted(sum(tables[4:], [])) == list(range(64))
 
 
+def test_tables_follow_the_rows():
+    longest = [max(map(len, code_tables(64, classes, 0.98))) for classes in (100, 5_000, 60_000, 10**6, 10**9)]
+    assert longest == [8, 16, 16, 22, 32]  # cuts of 64 bits at the logarithm of the classes
+    flip = math.acos(0.98) / math.pi
+    for classes in (100, 5_000, 10**6, 10**9):
+        missed = math.prod(1 - (1 - flip) ** len(t) - len(t) * flip * (1 - flip) ** (len(t) - 1) for t in code_tables(64, classes, 0.98))
+        assert missed <= 0.002
+    assert 12 <= code_distance(64, 0.98) <= 20 and code_distance(3, 0.98) <= 3
+
+
 def test_graph_recall_and_flat_form():
     draw = np.random.default_rng(7)
     points = np.concatenate([draw.normal(size=(20, 16))[draw.integers(0, 20, 1500)] + 0.05 * draw.normal(size=(1500, 16)), draw.normal(size=(500, 16))])
