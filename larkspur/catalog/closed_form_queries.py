@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from larkspur.catalog.registry import query, r6
 from larkspur.functions import text as T
 from larkspur.operators import sampling as X
-from larkspur.plans import features as G, models as M
+from larkspur.plans import features as G, gram as S, models as M
 from larkspur.sources.readers import table
 
 _SETUP = """SELECT l_orderkey, l_linenumber, (l_quantity > 25)::int::double AS x, l_extendedprice AS price, (l_quantity + 5 * l_linenumber > 35)::int::double AS y,
@@ -220,14 +220,41 @@ def _tuned_lines(spark, sf):
 
 @query("M21 M23", f"{_FOLDED} SELECT strength::double AS strength, round(score, 1) AS score FROM g")
 def fold_scores(spark, sf):
-    """Cross-validated error of each ridge strength over hash folds."""
-    tuned, _, _ = _tuned_lines(spark, sf)
-    out = M.tuning_table(tuned, spark, larger_is_better=False)
-    return out.select(F.element_at("settings", "regParam").cast("double").alias("strength"), F.round("score", 1).alias("score"))
+    """Cross-validated error of each ridge strength over hash folds, from one scan of the training part."""
+    rows = table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), "l_quantity", "l_extendedprice")
+    train, _ = X.hash_split(rows, "id")
+    tuned = S.tune_linear(train, ["l_quantity"], "l_extendedprice", "id", [("ridge", 0.0), ("ridge", 20000.0)], folds=3)
+    return tuned.frame(spark).select("strength", F.round("score", 1).alias("score"))
+
+
+_GRID = [(kind, strength) for strength in (0.1, 2000.0, 12000.0) for kind in ("ridge", "lasso")]
+
+
+@query(
+    "M2 M3 M21 M23 E1",
+    f"""WITH t AS (SELECT l_quantity::double AS a, l_discount::double AS b, l_extendedprice::double AS y, {_HASH.format(salt="'fold' || ")} % 3 AS fold FROM lineitem),
+       k AS (SELECT * FROM (VALUES {', '.join(f"('{k}', {s}::double)" for k, s in _GRID)}) AS v(kind, strength)), f AS (SELECT DISTINCT fold FROM t),
+       s AS (SELECT f.fold, corr(a, b) AS r, corr(a, y) AS ca, corr(b, y) AS cb, stddev_pop(a) AS da, stddev_pop(b) AS db, stddev_pop(y) AS dy, avg(a) AS ma, avg(b) AS mb, avg(y) AS my
+             FROM f JOIN t ON t.fold <> f.fold GROUP BY 1),
+       p AS (SELECT s.*, kind, strength, CASE WHEN kind = 'lasso' THEN strength / dy ELSE 0 END AS l, CASE WHEN kind = 'ridge' THEN 1 + strength / dy ELSE 1 END AS q FROM s, k),
+       g AS (SELECT p.*, sa, sb,
+               CASE WHEN sa = 0 THEN 0 WHEN sb = 0 THEN (ca - l * sa) / q ELSE (q * (ca - l * sa) - r * (cb - l * sb)) / (q * q - r * r) END AS wa,
+               CASE WHEN sb = 0 THEN 0 WHEN sa = 0 THEN (cb - l * sb) / q ELSE (q * (cb - l * sb) - r * (ca - l * sa)) / (q * q - r * r) END AS wb
+             FROM p, (VALUES (-1), (0), (1)) AS x(sa), (VALUES (-1), (0), (1)) AS z(sb)),
+       m AS (SELECT kind, strength, fold, arg_min(wa * dy / da, cost) AS wa, arg_min(wb * dy / db, cost) AS wb, any_value(ma) AS ma, any_value(mb) AS mb, any_value(my) AS my
+             FROM (SELECT *, q * (wa * wa + wb * wb) / 2 + r * wa * wb - wa * ca - wb * cb + l * (abs(wa) + abs(wb)) AS cost FROM g WHERE sign(wa) = sa AND sign(wb) = sb) GROUP BY 1, 2, 3),
+       e AS (SELECT kind, strength, m.fold, sqrt(avg((y - my - wa * (a - ma) - wb * (b - mb)) ** 2)) AS rmse FROM m JOIN t USING (fold) GROUP BY 1, 2, 3)
+       SELECT kind, strength, round(avg(rmse), 3) AS score FROM e GROUP BY 1, 2""",
+)
+def regression_grid(spark, sf):
+    """Ridge and lasso strengths for two features by cross-validation, all from one scan."""
+    rows = table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), "l_quantity", "l_discount", "l_extendedprice")
+    tuned = S.tune_linear(rows, ["l_quantity", "l_discount"], "l_extendedprice", "id", _GRID, folds=3)
+    return tuned.frame(spark).withColumn("score", F.round("score", 3))
 
 
 @query(
-    "M21 M22 M23",
+    "M21 M23",
     f"""{_FOLDED}, best AS (SELECT arg_min(strength, score) AS strength FROM g),
        w AS (SELECT strength, regr_slope(y, x) / (1 + strength / stddev_samp(y)) AS b, avg(x) AS mx, avg(y) AS my FROM t, best WHERE train GROUP BY strength)
        SELECT strength::double AS strength, round(sqrt(avg((y - (my + b * (x - mx))) ** 2)), 1) AS rmse, count(*) AS n FROM t, w WHERE NOT train GROUP BY 1""",

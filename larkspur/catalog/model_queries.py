@@ -334,13 +334,3 @@ def validation_split(spark, sf):
     judge = MulticlassClassificationEvaluator(metricName="f1")
     tuned = M.validate_once(Pipeline(stages=[*stages, bayes]), grid, judge, _texts(spark, sf).select("doc_id", "text", "label"), "doc_id")
     return M.tuning_table(tuned, spark)
-
-
-@query("M21 M23 E1")
-def regression_grid(spark, sf):
-    """Ridge strength by cross-validation on squared error, smallest first."""
-    rows = G.assembler(["l_quantity", "l_discount"]).transform(_lines(spark, sf))
-    ridge = M.linear("l_extendedprice", kind="ridge")
-    judge = RegressionEvaluator(labelCol="l_extendedprice", metricName="rmse")
-    tuned = M.cross_validate(ridge, M.param_grid([(ridge.regParam, [0.01, 0.1, 1.0])]), judge, rows, "id", folds=3)
-    return M.tuning_table(tuned, spark, larger_is_better=False)
