@@ -9,9 +9,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from larkspur.catalog.registry import query, r6, rounded
+from larkspur.catalog.text_queries import CLEAN_SQL, STOP_SQL
 from larkspur.functions import text as T
 from larkspur.operators import sampling as X, timeseries as W
-from larkspur.plans import evaluate as E, features as G, models as M
+from larkspur.plans import bayes_grid as B, evaluate as E, features as G, models as M
 from larkspur.session import written
 from larkspur.sources.readers import table
 
@@ -324,13 +325,29 @@ def cross_validation(spark, sf):
     return M.tuning_table(M.cross_validate(tree, grid, judge, _points(spark, sf), "vec_id"), spark)
 
 
-@query("M22 M23")
+_GRID_SQL = f"""
+WITH docs AS (SELECT doc_id, quality AS label, list_filter(string_split({CLEAN_SQL}, ' '), lambda t: t <> '' AND t NOT IN ({STOP_SQL})) AS tokens,
+       ('0x' || left(md5(doc_id::varchar), 8))::bigint % 100 < 80 AS train FROM documents JOIN labels USING (doc_id)),
+   w AS (SELECT doc_id, label, train, unnest(tokens) AS term FROM docs), size AS (SELECT count(*)::double AS n FROM docs WHERE train),
+   classes AS (SELECT label, count(*)::double AS docs FROM docs WHERE train GROUP BY 1),
+   v AS (SELECT term, ln((n + 1) / (count(DISTINCT doc_id) + 1)) AS idf, row_number() OVER (ORDER BY count(*) DESC, term) AS rank FROM w, size WHERE train GROUP BY term, n),
+   c AS (SELECT term, label, count(*) AS tf FROM w WHERE train GROUP BY 1, 2),
+   s AS (SELECT v.term, idf, rank, k.label, idf * coalesce(tf, 0) AS total FROM v CROSS JOIN classes k LEFT JOIN c ON c.term = v.term AND c.label = k.label),
+   grid AS (SELECT * FROM (VALUES (200), (1000), (5000)) AS a(vocabulary), (VALUES (0.5::double), (1.0), (2.0)) AS b(smoothing)),
+   d AS (SELECT vocabulary, smoothing, label, ln(sum(total) + smoothing * count(*)) AS below FROM s, grid WHERE rank <= vocabulary GROUP BY 1, 2, 3),
+   a AS (SELECT doc_id, vocabulary, smoothing, s.label AS guess, sum(idf * (ln(total + smoothing) - below)) AS score
+         FROM w JOIN s USING (term) JOIN grid ON rank <= vocabulary JOIN d USING (vocabulary, smoothing) WHERE NOT train AND d.label = s.label GROUP BY 1, 2, 3, 4),
+   p AS (SELECT doc_id, docs.label, vocabulary, smoothing, arg_max(k.label, (coalesce(score, 0) + ln(k.docs + smoothing) - ln(n + smoothing * (SELECT count(*) FROM classes)), -k.label)) AS guess
+         FROM docs CROSS JOIN grid CROSS JOIN classes k CROSS JOIN size LEFT JOIN a USING (doc_id, vocabulary, smoothing) WHERE NOT train AND (a.guess IS NULL OR a.guess = k.label) GROUP BY 1, 2, 3, 4),
+   m AS (SELECT vocabulary, smoothing, k.label, count(*) FILTER (p.label = k.label) AS support, count(*) FILTER (p.guess = k.label) AS predicted,
+         count(*) FILTER (p.label = k.label AND p.guess = k.label) AS hits FROM p, classes k GROUP BY 1, 2, 3)
+SELECT vocabulary::int AS vocabulary, smoothing, sum(support)::bigint AS n, round(sum(hits) / sum(support), 6) AS accuracy,
+   round(sum(CASE WHEN support = 0 THEN 0 ELSE support * 2.0 * hits / (support + predicted) END) / sum(support), 6) AS f1 FROM m GROUP BY 1, 2"""
+
+
+@query("M14 M22 M23 T7 T8 T15", _GRID_SQL)
 def validation_split(spark, sf):
-    """Vocabulary size and smoothing of naive Bayes by one train/validation split."""
-    stages = G.tf_idf_stages("text", words_only=True)
-    bayes = M.naive_bayes("label")
-    vocabulary = next(s for s in stages if isinstance(s, CountVectorizer))
-    grid = M.param_grid([(vocabulary.vocabSize, [1000, 5000]), (bayes.smoothing, [0.5, 1.0])])
-    judge = MulticlassClassificationEvaluator(metricName="f1")
-    tuned = M.validate_once(Pipeline(stages=[*stages, bayes]), grid, judge, _texts(spark, sf).select("doc_id", "text", "label"), "doc_id")
-    return M.tuning_table(tuned, spark)
+    """Vocabulary size and smoothing of naive Bayes by one train/validation split, every setting from one table of counts."""
+    tokens = T.without_stop_words(T.space_tokens("text"), T.default_stop_words())
+    rows = _texts(spark, sf).select("doc_id", F.col("quality").alias("label"), tokens.alias("tokens"))
+    return rounded(B.validate_bayes(rows, "doc_id", "label", "tokens", [200, 1000, 5000], [0.5, 1.0, 2.0]), "accuracy", "f1")

@@ -26,7 +26,7 @@ STOP_WORDS = (
     "didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's "
     "who's why's would"
 ).split()
-_STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
+STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
 
 
 def documents(spark, sf):
@@ -34,6 +34,7 @@ def documents(spark, sf):
 
 
 _CLEAN = r"trim(regexp_replace(regexp_replace({t}, '[^a-z\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+CLEAN_SQL = _CLEAN.format(t="lower(text)")
 _SPACE = r"list_filter(string_split_regex(lower(text), '\s+'), lambda t: t <> '')"
 _WORDS = r"list_filter(string_split_regex(lower(text), '\W+'), lambda t: t <> '')"
 
@@ -71,7 +72,7 @@ def regex_tokens(spark, sf):
     return T.term_counts(tokens, "doc_id", "tokens")
 
 
-@query("T3", f"SELECT doc_id, len(list_filter({_SPACE}, lambda t: t NOT IN ({_STOP_SQL})))::int AS kept, len({_SPACE})::int AS tokens FROM documents")
+@query("T3", f"SELECT doc_id, len(list_filter({_SPACE}, lambda t: t NOT IN ({STOP_SQL})))::int AS kept, len({_SPACE})::int AS tokens FROM documents")
 def stop_word_counts(spark, sf):
     tokens = T.space_tokens("text")
     kept = T.without_stop_words(tokens, T.default_stop_words())
@@ -125,7 +126,7 @@ def hashed_tfidf(spark, sf):
 
 @query(
     "A24 T3",
-    f"""WITH w AS (SELECT toxic, t AS term, count(*) AS n FROM (SELECT toxic, unnest(list_filter({_WORDS}, lambda t: t NOT IN ({_STOP_SQL}))) AS t
+    f"""WITH w AS (SELECT toxic, t AS term, count(*) AS n FROM (SELECT toxic, unnest(list_filter({_WORDS}, lambda t: t NOT IN ({STOP_SQL}))) AS t
               FROM documents JOIN labels USING (doc_id)) GROUP BY 1, 2)
        SELECT toxic, term, n, rank::int AS rank FROM (SELECT *, row_number() OVER (PARTITION BY toxic ORDER BY n DESC, term) AS rank FROM w) WHERE rank <= 25""",
 )
