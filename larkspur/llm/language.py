@@ -7,11 +7,11 @@ that has a known n-gram, down to single characters; their scores are averaged.
 A text's score is the mean over its words; the language with the highest wins,
 ties to the smaller name.
 
-The model is fitted on a bounded sample: about ``fit_rows`` labelled rows of
-each of the ``max_languages`` most frequent labels, drawn by a hash of the row
-id.  It keeps the most frequent words, at most ``max_words``, and at most ``max_grams``
-n-grams of each length; these parameters bound what is sent to the tasks, and what falls
-outside is answered by the back-off.
+The model is fitted on a bounded sample: about ``fit_rows`` labelled rows,
+drawn by a hash of the row id in equal shares of all labels, so a label with
+few rows has all of them in it.  Every label, word and n-gram of the sample is
+kept; the sample alone bounds what is sent to the tasks, where a word or n-gram
+holds numbers only for the languages that have it.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as
 is every text if nothing could be learned; words without any known n-gram say
@@ -25,10 +25,10 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.llm.common import Shared, staged
@@ -36,7 +36,8 @@ from larkspur.llm.words import WordTable
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _HELD_WORDS = 200_000  # words that a fitting task counts before it passes them on
-_TABLE_WORDS = 150_000  # scored words that a predicting task keeps
+_TABLE_WORDS, _TABLE_BYTES = 150_000, 48 << 20  # scored words that a predicting task keeps, and their size
+_TEXT_WORDS = 8_192  # words of a text that are added up at once
 _EVIDENCE_WORDS = 8  # the certainty of a longer text is that of so many words
 PENALTY = -7.0  # log10 frequency of what a language never had
 
@@ -45,8 +46,18 @@ PENALTY = -7.0  # log10 frequency of what a language never had
 class LanguageModel:
     languages: tuple[str, ...]
     longest: int
-    rows: dict[str, int]  # word, or n-gram after a tab -> row of ``scores``
-    scores: np.ndarray  # log10 frequency per language, and 1
+    rows: dict[str, int]  # word, or n-gram after a tab -> its row
+    starts: np.ndarray  # where a row begins in the next two, and the end
+    which: np.ndarray  # languages that have it
+    values: np.ndarray  # their log10 frequencies
+
+    def scores(self, row: int) -> np.ndarray:
+        """Score of each language, and 1."""
+        out = np.full(len(self.languages) + 1, PENALTY)
+        out[-1] = 1.0
+        here = slice(self.starts[row], self.starts[row + 1])
+        out[self.which[here]] = self.values[here]
+        return out
 
 
 def _words(text: str) -> list[str]:
@@ -64,17 +75,16 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame([(a, w, n) for (a, w), n in counts.items()], columns=["lang", "word", "n"])
 
 
-def fit_languages(
-    labelled: DataFrame, id_column: str = "doc_id", fit_rows: int = 20_000, max_languages: int = 256, max_words: int = 50_000, max_grams: int = 50_000, longest: int = 5
-) -> LanguageModel:
+def fit_languages(labelled: DataFrame, id_column: str = "doc_id", fit_rows: int = 10_000, longest: int = 5) -> LanguageModel:
     """Learn from ``text`` and ``lang`` of the rows where both are given."""
     rows = labelled.filter("text is not null and lang is not null")
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    found = rows.groupBy("lang").count().collect()  # a row per label
+    none = np.empty(0, "i4")
     if not found:
-        return LanguageModel((), longest, {}, np.empty((0, 1)))
+        return LanguageModel((), longest, {}, np.zeros(1, "i8"), none, np.empty(0))
     languages = tuple(sorted(r["lang"] for r in found))
-    steps = 1 << 20
-    keep = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], max(1, min(steps, round(steps * fit_rows / r["count"]))))])
+    steps, each = 1 << 20, max(1, fit_rows // len(found))
+    keep = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], max(1, min(steps, -(-steps * each // r["count"]))))])
     sample = rows.filter(F.pmod(F.xxhash64(F.col(id_column)), F.lit(steps)) < F.element_at(keep, F.col("lang"))).select("text", "lang")
     words = sample.mapInPandas(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words = words.persist()
@@ -93,47 +103,38 @@ def fit_languages(
     wide = staged(per_key.groupBy("size", "key").agg(F.sum("n").alias("n"), by_language.alias("by")), "language-counts")
     words.unpersist()
     counted = wide.select("size", F.explode("by").alias("lang", "n")).groupBy("size", "lang").agg(F.sum("n").alias("n"))
-    totals = {(r["size"], r["lang"]): r["n"] for r in counted.collect()}
-    least = _least_counts(wide, {kind: max_grams if kind else max_words for kind in range(longest + 1)})
-    kept = reduce(Column.__or__, [(F.col("size") == kind) & (F.col("n") >= n) for kind, n in least.items()])
-
-    def score(language: str) -> Column:
-        total = F.create_map(*[F.lit(x) for kind in range(longest + 1) for x in (kind, float(totals.get((kind, language), 1)))])
-        return F.coalesce(F.log10(F.try_element_at("by", F.lit(language)) / F.element_at(total, F.col("size"))), F.lit(PENALTY))
-
-    entries = wide.filter(kept).select("key", F.array(*[score(a) for a in languages], F.lit(1.0)).alias("scores")).toArrow().combine_chunks()
-    rows_of = {key: row for row, key in enumerate(entries["key"].to_pylist())}
-    flat = entries["scores"].combine_chunks().flatten().to_numpy() if len(rows_of) else np.empty(0)
-    return LanguageModel(languages, longest, rows_of, flat.reshape(-1, len(languages) + 1))
-
-
-def _least_counts(counts: DataFrame, most: dict[int, int]) -> dict[int, int]:
-    """Per size the smallest count that no more than ``most`` entries reach; only how many entries have each count is collected."""
-    least = {}
-    held: Counter = Counter()
-    for size, n, entries in counts.groupBy("size", "n").count().orderBy(F.desc("n")).collect():
-        held[size] += entries
-        if held[size] <= most[size]:
-            least[size] = n
-    return {size: least.get(size, 1 << 62) for size in most}
+    number = {name: i for i, name in enumerate(languages)}
+    totals = np.ones((longest + 1, len(languages)))
+    for r in counted.collect():  # a row per language and length
+        totals[r["size"], number[r["lang"]]] = r["n"]
+    numbers = F.create_map(*[F.lit(x) for pair in number.items() for x in pair])
+    entries = wide.select("key", "size", F.transform(F.map_keys("by"), lambda a: F.element_at(numbers, a)).alias("which"), F.map_values("by").alias("n"))
+    entries = entries.toArrow().combine_chunks()
+    if not len(entries):
+        return LanguageModel(languages, longest, {}, np.zeros(1, "i8"), none, np.empty(0))
+    column = lambda name: entries[name].combine_chunks()
+    which, n, held = column("which").flatten().to_numpy(), column("n").flatten().to_numpy(), pc.list_value_length(column("which")).to_numpy()
+    rows_of = {key: row for row, key in enumerate(column("key").to_pylist())}
+    values = np.log10(n / totals[np.repeat(column("size").to_numpy(), held), which])
+    return LanguageModel(languages, longest, rows_of, np.concatenate([[0], np.cumsum(held)]), which.astype("i4"), values)
 
 
 def _word_score(model: LanguageModel, word: str) -> np.ndarray:
     """Score per language, and 1 if the word says anything or else 0."""
     row = model.rows.get(word)
     if row is not None:
-        return model.scores[row]
+        return model.scores(row)
     for n in range(model.longest, 0, -1):
         text = f" {word} " if n > 1 else word  # a padding space alone says nothing
         found = [r for i in range(len(text) - n + 1) if (r := model.rows.get("\t" + text[i : i + n])) is not None]
         if found:
-            return model.scores[found].sum(axis=0) / len(found)
+            return sum(map(model.scores, found)) / len(found)
     return np.zeros(len(model.languages) + 1)
 
 
 def _table(model: LanguageModel) -> WordTable:
     """Scores of words already met by a Python worker."""
-    return WordTable(lambda w: _word_score(model, w), "<f8", _TABLE_WORDS)
+    return WordTable(lambda w: _word_score(model, w), "<f8", max(1_000, min(_TABLE_WORDS, _TABLE_BYTES // (8 * (len(model.languages) + 1)))))
 
 
 def with_language(df: DataFrame, model: LanguageModel, text_column: str = "text", name_column: str = "lang_pred", score_column: str = "score") -> DataFrame:
@@ -150,7 +151,8 @@ def with_language(df: DataFrame, model: LanguageModel, text_column: str = "text"
             if not words:
                 out.append(("und", 0.0))
                 continue
-            scores = np.frombuffer(b"".join(map(table.__getitem__, words)), "<f8").reshape(-1, n + 1).sum(axis=0)
+            parts = (words[a : a + _TEXT_WORDS] for a in range(0, len(words), _TEXT_WORDS))
+            scores = sum(np.frombuffer(b"".join(map(table.__getitem__, part)), "<f8").reshape(-1, n + 1).sum(axis=0) for part in parts)
             told = scores[-1]
             mean = scores[:-1] / max(told, 1.0)
             best = int(np.argmax(mean))

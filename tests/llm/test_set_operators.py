@@ -2,7 +2,7 @@
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -207,6 +207,67 @@ def test_languages(spark):
     assert with_language(frame(spark, []), model).count() == 0
 
 
+def plain_language(train, text, longest=5):
+    """The scoring of the module in plain Python, on all labelled rows."""
+    words = {lang: Counter(w for t, a in train if a == lang for w in re.findall(r"[^\W\d_]+", t.lower())) for lang in {a for _, a in train}}
+    grams = {lang: {n: Counter() for n in range(1, longest + 1)} for lang in words}
+    for lang, counts in words.items():
+        for w, times in counts.items():
+            for n in range(1, longest + 1):
+                padded = f" {w} "
+                for i in range(len(padded) - n + 1):
+                    grams[lang][n][padded[i : i + n]] += times
+    names = sorted(words)
+    known = lambda counts, x: any(counts[a][x] for a in names)
+    score = lambda counts, x: np.array([math.log10(counts[a][x] / sum(counts[a].values())) if counts[a][x] else -7.0 for a in names])
+    total, told = np.zeros(len(names)), 0
+    found = re.findall(r"[^\W\d_]+", (text or "").lower())
+    for w in found:
+        if known(words, w):
+            total, told = total + score(words, w), told + 1
+            continue
+        for n in range(longest, 0, -1):
+            of_length = {a: grams[a][n] for a in names}
+            padded = f" {w} " if n > 1 else w
+            hits = [score(of_length, padded[i : i + n]) for i in range(len(padded) - n + 1) if known(of_length, padded[i : i + n])]
+            if hits:
+                total, told = total + sum(hits) / len(hits), told + 1
+                break
+    if not found:
+        return "und", 0.0
+    mean = total / max(told, 1)
+    best = int(np.argmax(mean))
+    return names[best], float(1 / np.exp((mean - mean[best]) * np.log(10) * min(told, 8)).sum())
+
+
+def test_languages_equal_brute_force(spark):
+    draw = np.random.default_rng(12)
+    letters = {"aa": "abcdef ", "bb": "cdefgh ", "cc": "aeiouxy ", "rare": "qvwz "}
+    text = lambda lang, n: "".join(draw.choice(list(letters[lang]), n))
+    train = [(text(lang, 60), lang) for lang in ("aa", "bb", "cc") for _ in range(40)] + [(text("rare", 60), "rare")]
+    model = fit_languages(spark.createDataFrame([(i, t, a) for i, (t, a) in enumerate(train)], "doc_id long, text string, lang string"))
+    rows = [(i, text(lang, n)) for i, (lang, n) in enumerate((a, n) for a in letters for n in (3, 20, 200))] + [(90, "mmm 77"), (91, "qv é"), (92, " ")]
+    told = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in with_language(frame(spark, rows), model).collect()}
+    for i, t in rows:
+        name, score = plain_language(train, t)
+        assert told[i][0] == name and told[i][1] == pytest.approx(score, abs=1e-9), t
+
+
+def test_no_language_is_left_out(spark):
+    """300 labels are all learned, and one with three rows beside one with 30,000 keeps its words."""
+    name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:03d}")
+    many = [(i, f"{name(i % 300)}x {name(i % 300)}yy", f"l{i % 300:03d}") for i in range(900)]
+    model = fit_languages(spark.createDataFrame(many, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 300
+    told = with_language(frame(spark, [(i, f"{name(i)}yy") for i in range(300)]), model).collect()
+    assert all(r["lang_pred"] == f"l{r['doc_id']:03d}" for r in told)
+    common = spark.range(30_000).selectExpr("id AS doc_id", "concat_ws(' ', 'w' || translate(id, '0123456789', 'abcdefghij'), 'the') AS text", "'common' AS lang")
+    rare = spark.createDataFrame([(50_000 + i, f"zq{x} common", "rare") for i, x in enumerate("klm")], "doc_id long, text string, lang string")
+    model = fit_languages(common.unionByName(rare), fit_rows=2_000)
+    assert {"zqk", "zql", "zqm"} <= set(model.rows)
+    assert [r["lang_pred"] for r in with_language(frame(spark, [(1, "zql")]), model).collect()] == ["rare"]
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, lab, "x") for i, v, lab in rows], "vec_id long, embedding array<float>, label int, t string").select(
         "vec_id", "embedding", "label", *[F.col("t").alias(c) for c in ("id", "v", "c", "rep", "links", "shard", "block", "rank", "score", "n")]
