@@ -11,6 +11,11 @@ last keep the columns of ``documents``.
    smallest row stays.  Rows without an id are in no group and stay.
 3. ``personal_data`` puts surrogates in the place of personal data.
 4. ``packing`` cuts the documents into token pieces and packs these.
+
+Defined cases: null and empty texts are in no language, so the first stage
+drops them; whole texts of any length go through every stage; an empty table
+gives empty stages of the same columns; further columns of any type, whatever
+their names, are kept by the first three stages and ignored by the last.
 """
 
 from __future__ import annotations
@@ -39,12 +44,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.filter((F.col("__name") != "und") & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
 
 
+def _unordered(kind: str) -> bool:
+    """Whether values of a type have no order of their own, as those that hold a map."""
+    return "map<" in kind or "variant" in kind
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _short_batches(spark)
     groups = ngram_components(docs)
     first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     rest = [c for c in docs.columns if c != "doc_id"]
-    one = docs.join(first, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
+    order = [F.to_json(F.struct(f"`{c}`")) if _unordered(docs.schema[c].dataType.simpleString()) else F.col(f"`{c}`") for c in rest]
+    one = docs.join(first, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*[f"`{c}`" for c in rest]), F.struct(*order)).alias("row"))
     return one.select("doc_id", "row.*").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
