@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from larkspur.catalog.registry import query, r6, rounded
 from larkspur.catalog.text_queries import CLEAN_SQL, STOP_SQL
 from larkspur.functions import text as T
 from larkspur.operators import sampling as X, timeseries as W
-from larkspur.plans import bayes_grid as B, evaluate as E, features as G, models as M
+from larkspur.plans import bayes_grid as B, coreset as R, evaluate as E, features as G, models as M
 from larkspur.session import written
 from larkspur.sources.readers import table
 
@@ -301,7 +301,28 @@ def weighted_logistic(spark, sf):
 
 @query("M18 M17 E9")
 def kmeans_sweep(spark, sf):
-    return M.sweep_k(_points(spark, sf), [3, 5, 10, 15])[0]
+    """Silhouette and cost of several numbers of clusters, all from one coreset and in passes that serve every one."""
+    return R.sweep_on_coreset(_points(spark, sf), [3, 5, 10, 15], vector_to_array("features"))[0]
+
+
+_CUTS = ", ".join(f"({k}, '{cut}')" for k, cuts in ((2, ("0111", "0011", "0001")), (3, ("0122", "0112", "0012")), (4, ("0123",))) for cut in cuts)
+
+
+@query(
+    "M17 M18 E9",
+    f"""WITH v AS (SELECT [0, 10, 40, 100][l_linenumber % 4 + 1]::double AS x, count(*)::double AS n FROM lineitem GROUP BY 1),
+       a AS (SELECT k, cut, substr(cut, i::int, 1)::int AS c, x, n FROM (VALUES {_CUTS}) AS t(k, cut), (SELECT *, row_number() OVER (ORDER BY x) AS i FROM v)),
+       s AS (SELECT k, cut, c, sum(n) AS m, sum(n * x) AS y, sum(n * x * x) AS q FROM a GROUP BY ALL),
+       best AS (SELECT k, arg_min(cut, cost) AS cut, min(cost) AS cost FROM (SELECT k, cut, sum(q - y * y / m) AS cost FROM s GROUP BY 1, 2) GROUP BY 1),
+       d AS (SELECT a.k, x, n, a.c AS own, s.c, m, x * x + q / m - 2 * x * y / m AS far FROM best JOIN a USING (k, cut) JOIN s USING (k, cut)),
+       z AS (SELECT k, x, any_value(n) AS n, max(CASE WHEN own = c THEN far * m / (m - 1) END) AS a, min(CASE WHEN own <> c THEN far END) AS b FROM d GROUP BY 1, 2)
+       SELECT k::int AS k, round(sum(n * (b - a) / greatest(a, b)) / sum(n), 4) AS silhouette, round(any_value(cost), 2) AS cost FROM z JOIN best USING (k) GROUP BY 1""",
+)
+def cluster_choice(spark, sf):
+    """Two to four clusters of four values: the best partition, its cost and its silhouette for each number."""
+    value = F.get(F.array(*[F.lit(float(x)) for x in (0, 10, 40, 100)]), F.col("l_linenumber") % 4)
+    scores, _ = R.sweep_on_coreset(table(spark, sf, "lineitem").select(F.array(value).alias("point")), [2, 3, 4], F.col("point"))
+    return rounded(scores, "silhouette").select("k", F.round("silhouette", 4).alias("silhouette"), F.round("cost", 2).alias("cost"))
 
 
 @query("A25 A28 M17")
