@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from larkspur.catalog.registry import query, r6
 from larkspur.functions import text as T
 from larkspur.operators import sampling as X
-from larkspur.plans import features as G, gram as S, models as M
+from larkspur.plans import features as G, gram as S, models as M, tree_audit as A
 from larkspur.sources.readers import table
 
 _SETUP = """SELECT l_orderkey, l_linenumber, (l_quantity > 25)::int::double AS x, l_extendedprice AS price, (l_quantity + 5 * l_linenumber > 35)::int::double AS y,
@@ -96,9 +96,76 @@ def tree_means(spark, sf):
     return spark.createDataFrame(found, "x double, boosted_price double, tree_share double, forest_share double, boosted_class double, one_vs_rest string")
 
 
-@query("M10 M19", "SELECT 2 AS leaves, 1 AS splits")
+_SPLIT_ON = ["quantity", "discount", "tax", "line"]
+
+
+def _grown(name: str, target: str, kind: str, depth: int = 3) -> str:
+    """CTEs that grow a tree greedily: ``name_d`` has the best split per node of depth ``d``, ``name_r`` each row's node below the last one."""
+    if kind == "variance":
+        stats, imp = "count(*)::double AS n, sum(y) AS s, sum(y * y) AS q", "greatest({q} / {n} - ({s} / {n}) ** 2, 0)"
+    else:
+        part = "CASE WHEN {x} <= 0 THEN 0 ELSE -({x} / {n}) * log2({x} / {n}) END"
+        stats = "count(*)::double AS n, sum(y) AS s, 0.0 AS q"
+        imp = f"({part.format(x='({s})', n='({n})')} + {part.format(x='(({n}) - ({s}))', n='({n})')})" if kind == "entropy" else "(2 * (({s}) / ({n})) * (1 - ({s}) / ({n})))"
+    out = [f"{name}_r0 AS (SELECT *, ({target})::double AS y, 0 AS node FROM base)"]
+    cells = " UNION ALL ".join(f"SELECT node, {i} AS f, {c}::double AS v, y FROM {name}_r{{d}}" for i, c in enumerate(_SPLIT_ON))
+    fill = lambda n, s, q: imp.format(n=n, s=s, q=q)
+    for d in range(depth):
+        out.append(f"{name}_h{d} AS (SELECT node, f, v, {stats} FROM ({cells.format(d=d)}) GROUP BY 1, 2, 3)")
+        out.append(
+            f"""{name}_c{d} AS (SELECT node, f, v, lead(v) OVER w AS nxt, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(q) OVER w AS ql,
+                sum(n) OVER a AS n, sum(s) OVER a AS s, sum(q) OVER a AS q FROM {name}_h{d} WINDOW w AS (PARTITION BY node, f ORDER BY v), a AS (PARTITION BY node, f))"""
+        )
+        gain = f"{fill('n', 's', 'q')} - (nl * {fill('nl', 'sl', 'ql')} + (n - nl) * {fill('(n - nl)', '(s - sl)', '(q - ql)')}) / n"
+        out.append(
+            f"""{name}_{d} AS (SELECT node, n, f, (v + nxt) / 2 AS threshold, gain FROM (SELECT *, {gain} AS gain FROM {name}_c{d} WHERE nxt IS NOT NULL)
+                QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1)"""
+        )
+        value = f"CASE f {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(_SPLIT_ON))} END"
+        out.append(f"{name}_r{d + 1} AS (SELECT r.* REPLACE (2 * r.node + CASE WHEN {value} <= threshold THEN 1 ELSE 2 END AS node) FROM {name}_r{d} r JOIN {name}_{d} USING (node))")
+    return ",\n".join(out)
+
+
+def _grown_rows(name: str, depth: int = 3) -> str:
+    """Inner nodes of a grown tree; the library joins leaves again under which every leaf predicts the same class."""
+    names = f"[{', '.join(repr(c) for c in _SPLIT_ON)}]"
+    guess = f"(SELECT node AS leaf, {'(avg(y) > 0.5)::int' if name in ('tree', 'forest') else 'avg(y)'} AS guess FROM {name}_r{depth} GROUP BY 1)"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS model, node::int AS node, {d} AS depth, n::bigint AS n, {names}[f + 1] AS feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain, true AS best FROM {name}_{d} WHERE (SELECT count(DISTINCT guess) FROM {guess} WHERE ((leaf + 1) >> {depth - d}) - 1 = node) > 1"
+        for d in range(depth)
+    )
+
+
+@query(
+    "M4 M10 M11 M12 M19",
+    f"""WITH base AS (SELECT l_quantity::double AS quantity, l_discount::double AS discount, l_tax::double AS tax, l_linenumber::double AS line,
+           (l_quantity * (1 + 3 * l_discount) + 4 * l_linenumber * l_tax * 10 > 38)::int::double AS flag, l_extendedprice / 1000.0 AS price FROM lineitem),
+       {_grown("tree", "flag", "entropy")}, {_grown("forest", "flag", "gini")}, {_grown("boosted_0", "price", "variance")},
+       leaf AS (SELECT node, avg(y) AS m FROM boosted_0_r3 GROUP BY 1), again AS (SELECT b.*, 2 * (b.y - m) AS target FROM boosted_0_r3 b JOIN leaf USING (node)),
+       {_grown("boosted_1", "target", "variance").replace("FROM base)", "FROM (SELECT * EXCLUDE (y, node) FROM again))", 1)}
+       {" UNION ALL ".join(_grown_rows(n) for n in ("tree", "forest", "boosted_0", "boosted_1"))}""",
+)
+def tree_audit(spark, sf):
+    """Every split of a tree, a forest's tree and two boosted trees of depth three: rows, gain, and whether no other split gains more."""
+    mixed = F.col("quantity") * (1 + 3 * F.col("discount")) + 4 * F.col("line") * F.col("tax") * 10
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_quantity").cast("double").alias("quantity"), F.col("l_discount").cast("double").alias("discount"), F.col("l_tax").cast("double").alias("tax"),
+        F.col("l_linenumber").cast("double").alias("line"), (F.col("l_extendedprice") / 1000.0).alias("price"),
+    ).withColumn("flag", (mixed > 38).cast("double"))
+    with M.held(G.assembler(_SPLIT_ON).transform(rows)) as kept:
+        tree = M.decision_tree("flag", depth=3).setMaxBins(64).fit(kept)
+        forest = M.random_forest("flag", trees=1, depth=3).setMaxBins(64).setBootstrap(False).setFeatureSubsetStrategy("all").fit(kept)
+        boosted = M.boosted_regressor("price", rounds=2, depth=3).setMaxBins(64).fit(kept)
+        audits = {"tree": A.audit_tree(tree, kept, _SPLIT_ON, "flag", "entropy"), "forest": A.audit_tree(forest.trees[0], kept, _SPLIT_ON, "flag", "gini")}
+        for i in range(2):
+            audits[f"boosted_{i}"] = A.audit_tree(boosted.trees[i], kept, _SPLIT_ON, A.boosted_residual(boosted, i, _SPLIT_ON, "price"), "variance")
+    found = A.audit_frame(spark, audits)
+    return found.select("model", "node", "depth", "n", "feature", F.round("threshold", 6).alias("threshold"), r6("gain").alias("gain"), (F.col("shortfall") < 1e-9 * (1 + F.col("gain"))).alias("best"))
+
+
+@query("M10 M19", f"SELECT count(DISTINCT x)::int AS leaves, (count(DISTINCT x) - 1)::int AS splits FROM ({_SETUP})")
 def tree_shape(spark, sf):
-    """The rules of a tree of depth one read as two leaves and one split."""
+    """The rules of a tree of depth one read as a leaf per value and the splits between them."""
     rules = M.tree_text(M.decision_tree("y", depth=1).fit(_setup(spark, sf)), spark)
     return rules.agg(F.count_if(F.col("rule").contains("Predict")).cast("int").alias("leaves"), F.count_if(F.col("rule").startswith("  If ")).cast("int").alias("splits"))
 
