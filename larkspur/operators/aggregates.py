@@ -317,32 +317,43 @@ def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return ranked.select("column", "value", "n", (F.col("upto") - (F.col("n") - 1) / F.lit(2.0)).alias("rank"))
 
 
-def _rank_correlations(rows: DataFrame, cols: Sequence[str]) -> list[tuple[str, str, float | None]]:
-    """Pearson over average ranks of rows in which every column is present."""
-    ranks = written(average_ranks(rows, cols), "ranks")
-    ranked = rows
-    for c in cols:
-        of_c = ranks.filter(F.col("column") == c).select(F.col("value").alias(c), F.col("rank").alias(f"__r_{c}"))
-        ranked = lookup_join(ranked, of_c, c)
-    return [tuple(r) for r in pearson_matrix(ranked.select(*[F.col(f"__r_{c}").alias(c) for c in cols]), cols).collect()]
+def _ranks_beside(rows: DataFrame, cols: Sequence[str], gappy: Sequence[str]) -> DataFrame:
+    """``(column, value, rank, beside)``: average rank of a value among the column's rows, and among those where each gappy column is present too."""
+    present = [F.col(c).isNotNull().cast("long").alias(f"p{i}") for i, c in enumerate(gappy)]
+    long = rows.select(*present, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])).alias("e"))
+    counts = long.filter("e.value is not null").groupBy("e.column", "e.value").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"p{i}").alias(f"n{i}") for i in range(len(gappy))])
+    names = ["n", *[f"n{i}" for i in range(len(gappy))]]
+    upto = running_total(written(counts, "values"), {f"upto_{n}": F.col(n) for n in names}, ["value"], ["column"])
+    rank = lambda n: F.col(f"upto_{n}") - (F.col(n) - 1) / F.lit(2.0)
+    return upto.select("column", "value", rank("n").alias("rank"), F.array(*[rank(n) for n in names[1:]]).cast("array<double>").alias("beside"))
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Spearman correlation in long form, each pair over the rows in which both columns are present.
 
-    Columns without gaps share one set of ranks; a pair with a gappy column is
-    ranked over its own common rows, since dropping a row shifts the ranks.
+    Dropping a row shifts the ranks, so beside a column with gaps a column has
+    other ranks.  All of them come from one table of distinct values with a
+    count per gappy column and one running total; then every pair is one term
+    of one aggregate.  The number of jobs does not depend on the gaps.
     """
     clean = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
     rows = df.select(*[clean(c) for c in cols])
     gaps = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    whole = [c for c in cols if not gaps[c]]
-    cells = _rank_correlations(rows.select(*whole), whole) if whole else []
-    for a, b in combinations_with_replacement(cols, 2):
-        if gaps[a] or gaps[b]:
-            pair = list(dict.fromkeys((a, b)))
-            found = {(x, y): r for x, y, r in _rank_correlations(rows.select(*pair).dropna(), pair)}
-            cells += [(x, y, found[x, y]) for x, y in {(a, b), (b, a)}]
+    gappy = [c for c in cols if gaps[c]]
+    ranks = written(_ranks_beside(rows, cols, gappy), "ranks")
+    ranked = rows
+    for i, c in enumerate(cols):
+        of_c = ranks.filter(F.col("column") == c).select(F.col("value").alias(c), F.col("rank").alias(f"__r{i}"), F.col("beside").alias(f"__b{i}"))
+        ranked = lookup_join(ranked, of_c, c, "left")
+
+    def rank(a: str, b: str) -> Column:
+        i = list(cols).index(a)
+        return F.get(f"__b{i}", F.lit(gappy.index(b))) if b in gappy and a != b else F.col(f"__r{i}")
+
+    pairs = list(combinations_with_replacement(cols, 2))
+    both = lambda a, b, x: F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), x)
+    found = ranked.agg(F.array(*[F.corr(both(a, b, rank(a, b)), both(a, b, rank(b, a))) for a, b in pairs]).alias("r")).first()["r"]
+    cells = [(x, y, r) for (a, b), r in zip(pairs, found) for x, y in {(a, b), (b, a)}]
     return df.sparkSession.createDataFrame(cells, "a string, b string, corr double")
 
 
