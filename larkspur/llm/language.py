@@ -37,6 +37,7 @@ from larkspur.llm.words import WordTable
 _LETTERS = re.compile(r"[^\W\d_]+")
 _HELD_WORDS = 200_000  # words that a fitting task counts before it passes them on
 _TABLE_WORDS, _TABLE_BYTES = 150_000, 48 << 20  # scored words that a predicting task keeps, and their size
+_MATRIX_BYTES = 32 << 20  # of a model that a task spreads out
 _TEXT_WORDS = 8_192  # words of a text that are added up at once
 _EVIDENCE_WORDS = 8  # the certainty of a longer text is that of so many words
 PENALTY = -7.0  # log10 frequency of what a language never had
@@ -51,12 +52,13 @@ class LanguageModel:
     which: np.ndarray  # languages that have it
     values: np.ndarray  # their log10 frequencies
 
-    def scores(self, row: int) -> np.ndarray:
-        """Score of each language, and 1."""
-        out = np.full(len(self.languages) + 1, PENALTY)
-        out[-1] = 1.0
-        here = slice(self.starts[row], self.starts[row + 1])
-        out[self.which[here]] = self.values[here]
+    def scores(self, rows: list[int], axis: int = 0) -> np.ndarray:
+        """Per row the score of each language, and 1."""
+        out = np.full((len(rows), len(self.languages) + 1), PENALTY)
+        out[:, -1] = 1.0
+        for at, row in enumerate(rows):
+            here = slice(self.starts[row], self.starts[row + 1])
+            out[at, self.which[here]] = self.values[here]
         return out
 
 
@@ -75,7 +77,7 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame([(a, w, n) for (a, w), n in counts.items()], columns=["lang", "word", "n"])
 
 
-def fit_languages(labelled: DataFrame, id_column: str = "doc_id", fit_rows: int = 10_000, longest: int = 5) -> LanguageModel:
+def fit_languages(labelled: DataFrame, id_column: str = "doc_id", fit_rows: int = 4_000, longest: int = 5) -> LanguageModel:
     """Learn from ``text`` and ``lang`` of the rows where both are given."""
     rows = labelled.filter("text is not null and lang is not null")
     found = rows.groupBy("lang").count().collect()  # a row per label
@@ -119,22 +121,34 @@ def fit_languages(labelled: DataFrame, id_column: str = "doc_id", fit_rows: int
     return LanguageModel(languages, longest, rows_of, np.concatenate([[0], np.cumsum(held)]), which.astype("i4"), values)
 
 
-def _word_score(model: LanguageModel, word: str) -> np.ndarray:
-    """Score per language, and 1 if the word says anything or else 0."""
-    row = model.rows.get(word)
-    if row is not None:
-        return model.scores(row)
-    for n in range(model.longest, 0, -1):
-        text = f" {word} " if n > 1 else word  # a padding space alone says nothing
-        found = [r for i in range(len(text) - n + 1) if (r := model.rows.get("\t" + text[i : i + n])) is not None]
-        if found:
-            return sum(map(model.scores, found)) / len(found)
-    return np.zeros(len(model.languages) + 1)
+class _Scorer:
+    """Scores of words: a model of few languages is spread out once into a plain matrix, one of many stays as it is."""
+
+    def __init__(self, model: LanguageModel) -> None:
+        n = len(model.languages) + 1
+        self.rows, self.longest, self.nothing, self.scores = model.rows, model.longest, np.zeros(n), model.scores
+        if 8 * n * len(model.rows) <= _MATRIX_BYTES:
+            plain = np.full((len(model.rows), n), PENALTY)
+            plain[:, -1] = 1.0
+            plain[np.repeat(np.arange(len(plain)), np.diff(model.starts)), model.which] = model.values
+            self.scores = plain.take
+
+    def __call__(self, word: str) -> np.ndarray:
+        """Score per language, and 1 if the word says anything or else 0."""
+        row = self.rows.get(word)
+        if row is not None:
+            return self.scores([row], 0)[0]
+        for n in range(self.longest, 0, -1):
+            text = f" {word} " if n > 1 else word  # a padding space alone says nothing
+            found = [r for i in range(len(text) - n + 1) if (r := self.rows.get("\t" + text[i : i + n])) is not None]
+            if found:
+                return self.scores(found, 0).sum(axis=0) / len(found)
+        return self.nothing
 
 
 def _table(model: LanguageModel) -> WordTable:
     """Scores of words already met by a Python worker."""
-    return WordTable(lambda w: _word_score(model, w), "<f8", max(1_000, min(_TABLE_WORDS, _TABLE_BYTES // (8 * (len(model.languages) + 1)))))
+    return WordTable(_Scorer(model), "<f8", max(1_000, min(_TABLE_WORDS, _TABLE_BYTES // (8 * (len(model.languages) + 1)))))
 
 
 def with_language(df: DataFrame, model: LanguageModel, text_column: str = "text", name_column: str = "lang_pred", score_column: str = "score") -> DataFrame:
