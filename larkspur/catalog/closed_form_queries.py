@@ -215,7 +215,7 @@ _TOKENS = r"list_filter(string_split_regex(lower(text), '\W+'), lambda t: t <> '
 def word_vector_shape(spark, sf):
     """Averaged word vectors have their size, and are zero just where no word is frequent enough."""
     rows = table(spark, sf, "documents").select("doc_id", T.word_tokens("text").alias("words"))
-    model = G.word_vectors("words", "vector", size=25, min_count=5, parts=4).fit(rows)
+    model = G.word_vectors("words", "vector", size=25, min_count=5, parts=G.training_parts(rows)).fit(rows)
     vector = vector_to_array("vector")
     return model.transform(rows).select("doc_id", F.size(vector).alias("size"), F.exists(vector, lambda x: x != 0).alias("filled"))
 

@@ -173,7 +173,7 @@ def text_language(spark, sf):
     rows = _texts(spark, sf).drop("label")
     train, test = X.hash_split(rows, "doc_id")
     index = G.indexer("lang", "label")
-    vectors = [index, G.tokeniser("text"), G.word_vectors("tokens", "features", 25, 2, parts=4), M.logistic("label", rounds=20)]
+    vectors = [index, G.tokeniser("text"), G.word_vectors("tokens", "features", 25, 2, parts=G.training_parts(train)), M.logistic("label", rounds=20)]
     hashed = [index, *G.tf_idf_stages("text", buckets=1000), M.logistic("label", rounds=20)]
     scores = []
     for name, stages in (("word vectors", vectors), ("term weights", hashed)):

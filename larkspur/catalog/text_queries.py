@@ -12,7 +12,7 @@ from larkspur.catalog.registry import query, r6, rounded
 from larkspur.functions import text as T
 from larkspur.functions.stem import porter_steps, stem_token
 from larkspur.operators.sampling import widen
-from larkspur.plans import features as G
+from larkspur.plans import features as G, word_space as V
 from larkspur.sources.readers import table
 
 # The default English stop words of the tokenising library.
@@ -218,12 +218,28 @@ def binary_presence(spark, sf):
 
 @query("T11")
 def word_vectors(spark, sf):
-    """Averaged word vectors per document, trained in four parts on every machine."""
+    """Averaged word vectors per document, the same for any partitioning of the corpus."""
     rows = documents(spark, sf).select("doc_id", T.word_tokens("text").alias("words"))
-    model = G.word_vectors("words", "vector", size=25, min_count=5, parts=4).fit(rows)
-    vector = vector_to_array("vector")
-    length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x))
-    return model.transform(rows).select("doc_id", F.size(vector).alias("size"), r6(length).alias("length"))
+    vectors = V.document_vectors(rows, "doc_id", "words", V.word_space(rows, "words", size=25, min_count=5), 25)
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    return vectors.select("doc_id", F.size("vector").alias("size"), r6(length).alias("length"))
+
+
+@query(
+    "T11",
+    f"""WITH d AS (SELECT doc_id, {_WORDS} AS t FROM documents), w AS (SELECT doc_id, generate_subscripts(t, 1) AS i, unnest(t) AS term FROM d),
+       v AS (SELECT term FROM w GROUP BY 1 HAVING count(*) >= 40),
+       once AS (SELECT a.term, b.term AS context FROM w a CROSS JOIN range(1, 6) AS k(k) JOIN w b ON b.doc_id = a.doc_id AND b.i = a.i + k.k),
+       p AS (SELECT term, context, count(*) AS n FROM (SELECT * FROM once UNION ALL SELECT context, term FROM once)
+             WHERE term IN (SELECT term FROM v) AND context IN (SELECT term FROM v) GROUP BY 1, 2),
+       u AS (SELECT term, sum(n) AS uses FROM p GROUP BY 1),
+       x AS (SELECT p.term, context, n, ln(n::double * (SELECT sum(uses) FROM u) / (a.uses::double * b.uses)) AS ppmi FROM p JOIN u a ON a.term = p.term JOIN u b ON b.term = context)
+       SELECT term, context, n, round(ppmi, 6) AS ppmi FROM x WHERE ppmi > 0""",
+)
+def word_information(spark, sf):
+    """The matrix behind the word vectors: pairs of terms within five words that meet more often than by chance."""
+    rows = documents(spark, sf).select(T.word_tokens("text").alias("words"))
+    return rounded(V.mutual_information(rows, "words", window=5, min_count=40), "ppmi")
 
 
 @query("T14 C1", "SELECT doc_id, length(text)::int AS size, length(trim(text))::int AS trimmed FROM documents")

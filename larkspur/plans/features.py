@@ -174,6 +174,11 @@ def word_count_stages(cols: Sequence[str], output: str = "features") -> list:
     return [assembler(cols, "counts", keep_invalid=True), IDF(inputCol="counts", outputCol=output)]
 
 
+def training_parts(documents: DataFrame, per_part: int = 20_000) -> int:
+    """Parts for :func:`word_vectors`: one per ``per_part`` documents, so they follow the data and never the machine."""
+    return max(1, -(-documents.count() // per_part))
+
+
 def word_vectors(tokens: str, output: str, size: int = 100, min_count: int = 1, parts: int = 1, seed: int = 42) -> Word2Vec:
     """Averaged word vectors.  ``parts`` tasks train and are averaged, so it is part of the result and must not follow the machine."""
     return Word2Vec(inputCol=tokens, outputCol=output, vectorSize=size, minCount=min_count, numPartitions=parts, seed=seed)
