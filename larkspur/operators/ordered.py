@@ -44,7 +44,7 @@ _SPACING = 32  # sampled rows between two edges where no frame asks for more
 _KEPT = 4_096  # rows of a partition that are kept before the sample thins
 _SAMPLE_PART = 200_000  # sampled rows that one task numbers
 _COARSE = 256  # edges in the plan
-_LONGEST = 10_000_000  # rows of a frame, which one task must hold
+_LONGEST = 10_000_000  # rows of a frame that one task holds; longer ones are differences of running totals
 _EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _KINDS = ("low", "at", "high")  # where halos start, buckets start, and halos end
 
@@ -102,7 +102,7 @@ def _directory(df: DataFrame, order: Sequence[str], before: int, after: int, buc
     """Edges of about ``buckets`` ranges.  None if the rows are fewer than a frame reaches, or no two rows differ in the order columns."""
     reach = max(before, after, 1)
     if reach > _LONGEST:
-        raise ValueError(f"a frame of {reach} rows must fit into a task; at most {_LONGEST} rows are supported")
+        raise ValueError(f"a frame of {reach} rows must fit into a task, at most {_LONGEST}; use shifted_rows or long_frames")
     held = [_sample(df.select(*order), order, max(_KEPT, 8 * reach)).persist(StorageLevel.MEMORY_AND_DISK)]
     try:
         kept = held[0].groupBy("level").agg(F.count("*").alias("n"), F.sum(F.pow(F.lit(2.0), F.col("asked"))).alias("rows"), F.max("asked").alias("asked")).collect()  # a row per level
@@ -276,3 +276,50 @@ def row_numbers(
 ) -> DataFrame:
     """1-based position in the total order (per key when keys are given)."""
     return running_total(df, {name: F.lit(1).cast("long")}, order_by, partition_by, buckets)
+
+
+def fits_a_task(reach: int) -> bool:
+    """Whether a window that reaches so many rows can be built from halos."""
+    return reach <= _LONGEST
+
+
+def _moved(rows: DataFrame, numbered: DataFrame, columns: dict[str, str], shift: int, keys: Sequence[str], number: str) -> DataFrame:
+    """Add the columns of the row ``shift`` places earlier in its key (later, if negative): one join on the place, so no key is hot."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    other = numbered.select((F.col(number) + shift).alias("__place"), *[F.col(k).alias(n) for k, n in zip(keys, names)], *[F.col(c).alias(n) for n, c in columns.items()])
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(other[n]) for k, n in zip(keys, names)], rows[number] == other["__place"])
+    return rows.join(other, same, "left").drop("__place", *names)
+
+
+def shifted_rows(df: DataFrame, columns: dict[str, tuple[str, int]], order_by: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """Add ``{name: (column, places)}``, the value so many rows before (after, if negative), however far away.
+
+    Rows are numbered and joined on their numbers; nothing has to lie in one task.
+    """
+    numbered = written(row_numbers(df, order_by, partition_by, name="__place_of"), "numbered")
+    out = numbered
+    for shift in dict.fromkeys(s for _, s in columns.values()):
+        out = _moved(out, numbered, {n: c for n, (c, s) in columns.items() if s == shift}, shift, partition_by, "__place_of")
+    return out.drop("__place_of")
+
+
+def long_frames(df: DataFrame, col: str, lengths: Sequence[int], order_by: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """Add ``__count_n``, ``__mean_n`` and ``__std_n`` of the last ``n`` rows for each length, however long.
+
+    One pass of running totals (count, sum and sum of squares around the
+    column's mean, which keeps their digits); a frame is the difference of two
+    of them, found by a join on the row number.
+    """
+    centre = F.coalesce(df.agg(F.avg(F.col(col).cast("double"))).scalar(), F.lit(0.0))
+    value = F.col(col).cast("double") - centre
+    sums = {"__n": F.lit(1).cast("long"), "__c": F.col(col).isNotNull().cast("long"), "__s": F.coalesce("__x", F.lit(0.0)), "__q": F.coalesce(F.col("__x") * F.col("__x"), F.lit(0.0))}
+    totals = written(running_total(df.withColumn("__x", value), sums, order_by, partition_by).drop("__x"), "totals")
+    out = totals
+    for n in dict.fromkeys(lengths):
+        out = _moved(out, totals, {"__c0": "__c", "__s0": "__s", "__q0": "__q"}, n, partition_by, "__n")
+        count, total, square = (F.col(f"__{c}") - F.coalesce(f"__{c}0", F.lit(0)) for c in "csq")
+        spread = (square - total * total / count) / (count - 1)
+        out = out.withColumns({
+            f"__count_{n}": count, f"__mean_{n}": F.when(count > 0, total / count + centre), f"__std_{n}": F.when(count > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))),
+        }).drop("__c0", "__s0", "__q0")
+    return out.drop("__n", "__c", "__s", "__q")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from larkspur.operators.lookups import lookup_join
-from larkspur.operators.ordered import range_buckets, window_columns
+from larkspur.operators.ordered import fits_a_task, long_frames, range_buckets, shifted_rows, window_columns
 
 
 def resample_ohlcv(
@@ -49,11 +49,17 @@ def growth(now: Column, before: Column, guarded: bool = False) -> Column:
 
 
 def with_lags(df: DataFrame, col: str, steps: Sequence[int], order_by: Sequence[str], partition_by: Sequence[str] = (), **kw) -> DataFrame:
+    """The values ``steps`` rows back; steps too far for a task to reach are joined by row number."""
+    if not fits_a_task(max(steps)):
+        return shifted_rows(df, {f"{col}_lag_{k}": (col, k) for k in steps}, order_by, partition_by)
     build = lambda w: {f"{col}_lag_{k}": F.lag(col, k).over(w) for k in steps}
     return window_columns(df, build, order_by, partition_by, before=max(steps), **kw)
 
 
 def with_lead(df: DataFrame, col: str, steps: int, order_by: Sequence[str], partition_by: Sequence[str] = (), **kw) -> DataFrame:
+    """The value ``steps`` rows ahead; joined by row number if that is too far for a task to reach."""
+    if not fits_a_task(steps):
+        return shifted_rows(df, {f"{col}_next_{steps}": (col, -steps)}, order_by, partition_by)
     build = lambda w: {f"{col}_next_{steps}": F.lead(col, steps).over(w)}
     return window_columns(df, build, order_by, partition_by, after=steps, **kw)
 
@@ -79,7 +85,13 @@ def with_rolling(
     df: DataFrame, col: str, means: Sequence[int] = (), deviations: Sequence[int] = (), *, order_by: Sequence[str],
     partition_by: Sequence[str] = (), full_frames: bool = False, **kw,
 ) -> DataFrame:
-    """Trailing means and sample deviations over the given numbers of rows."""
+    """Trailing means and sample deviations over the given numbers of rows; frames too long for a task are differences of running totals."""
+    lengths = [*means, *deviations]
+    if not fits_a_task(max(lengths) - 1):
+        out = long_frames(df, col, lengths, order_by, partition_by)
+        whole = lambda n, c: F.when(F.col(f"__count_{n}") == n, F.col(c)) if full_frames else F.col(c)
+        out = out.withColumns({**{f"{col}_mean_{n}": whole(n, f"__mean_{n}") for n in means}, **{f"{col}_std_{n}": whole(n, f"__std_{n}") for n in deviations}})
+        return out.drop(*[f"__{what}_{n}" for what in ("count", "mean", "std") for n in lengths])
 
     def build(w: WindowSpec) -> dict[str, Column]:
         return {

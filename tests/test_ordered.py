@@ -5,7 +5,7 @@ from pyspark.sql import Window, functions as F
 
 from larkspur.operators import ordered
 from larkspur.operators.ordered import range_buckets, row_numbers, running_total, window_columns
-from larkspur.operators.timeseries import chronological_split
+from larkspur.operators.timeseries import chronological_split, with_lags, with_lead, with_rolling
 
 
 def skewed(spark, n=6000, seed=1):
@@ -144,3 +144,28 @@ def test_the_sample_stays_small_and_sizes_the_table(spark):
     held = ordered._sample(df, ["ts", "id"], 1_000)
     found = held.selectExpr("count(*) AS n", "sum(pow(2, asked)) AS rows").first()
     assert found["n"] < 4 * 1_000 * 8 and abs(found["rows"] - 2_000_000) < 150_000
+
+
+@pytest.mark.parametrize("keys", [[], ["key"]])
+@pytest.mark.parametrize("full_frames", [False, True])
+def test_frames_longer_than_a_task(spark, rows, monkeypatch, keys, full_frames):
+    monkeypatch.setattr(ordered, "_LONGEST", 3)
+    df = skewed(spark, 2_500).withColumn("key", F.when(F.col("key") != "k1", F.col("key"))).withColumn("v", F.col("v") + 1e6)
+    found = with_rolling(df, "v", [40, 300], [300], order_by=["ts", "id"], partition_by=keys, full_frames=full_frames)
+    w = Window.partitionBy(*keys).orderBy("ts", "id")
+    frame = lambda f, n: f("v").over(w.rowsBetween(1 - n, 0))
+    whole = lambda f, n: F.when(frame(F.count, n) == n, frame(f, n)) if full_frames else frame(f, n)
+    plain = df.withColumns({"v_mean_40": whole(F.avg, 40), "v_mean_300": whole(F.avg, 300), "v_std_300": whole(F.stddev, 300)})
+    pairs = list(zip(rows(found), rows(plain)))
+    assert len(pairs) == 2_500
+    for mine, other in pairs:
+        assert mine[:4] == other[:4]
+        assert all(a == b if a is None or b is None else abs(a - b) < 1e-6 for a, b in zip(mine[4:], other[4:]))
+
+
+@pytest.mark.parametrize("keys", [[], ["key"]])
+def test_far_lags_and_leads(spark, rows, monkeypatch, keys):
+    monkeypatch.setattr(ordered, "_LONGEST", 3)
+    df, w = skewed(spark, 2_000), Window.partitionBy(*keys).orderBy("ts", "id")
+    assert rows(with_lags(df, "v", [1, 50], ["ts", "id"], keys)) == rows(df.withColumns({"v_lag_1": F.lag("v", 1).over(w), "v_lag_50": F.lag("v", 50).over(w)}))
+    assert rows(with_lead(df, "v", 30, ["ts", "id"], keys)) == rows(df.withColumn("v_next_30", F.lead("v", 30).over(w)))
