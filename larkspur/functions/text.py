@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from larkspur.operators.heavy import heavy_hitters
 from larkspur.operators.lookups import lookup_join
 from larkspur.operators.quality import non_blank
 
@@ -80,10 +81,8 @@ def tf_idf(df: DataFrame, doc: str, tokens: Column | str) -> DataFrame:
 
 
 def top_terms(df: DataFrame, label: str, tokens: Column | str, k: int) -> DataFrame:
-    """The ``k`` most frequent terms of each class, ties by term."""
-    counted = df.select(label, F.explode(_col(tokens)).alias("term")).groupBy(label, "term").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy(label).orderBy(F.desc("n"), "term")
-    return counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    """The ``k`` most frequent terms of each class, ties by term; only candidates are shuffled."""
+    return heavy_hitters(df.select(label, F.explode(_col(tokens)).alias("term")), "term", k, [label])
 
 
 def positioned_tokens(df: DataFrame, doc: str, tokens: Column | str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from larkspur.operators.heavy import heavy_hitters
 from larkspur.operators.lookups import lookup_join
 from larkspur.operators.ordered import running_total
 from larkspur.operators.quality import per_column
@@ -96,8 +97,8 @@ def top_groups(df: DataFrame, by: str, k: int, tie: Sequence[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, col: str, k: int | None = None) -> DataFrame:
-    counted = group_count(df, col)
-    return counted if k is None else top_groups(counted, "n", k, [col])
+    """Rows per value; with ``k`` the most frequent values alone, of which only candidates are shuffled."""
+    return group_count(df, col) if k is None else heavy_hitters(df, col, k).drop("rank").orderBy(F.desc("n"), col)
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
