@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from larkspur.catalog.registry import query, r6
 from larkspur.functions import text as T
 from larkspur.operators import sampling as X
-from larkspur.plans import features as G, gram as S, models as M, tree_audit as A
+from larkspur.plans import certificates as C, features as G, gram as S, models as M, tree_audit as A
 from larkspur.sources.readers import table
 
 _SETUP = """SELECT l_orderkey, l_linenumber, (l_quantity > 25)::int::double AS x, l_extendedprice AS price, (l_quantity + 5 * l_linenumber > 35)::int::double AS y,
@@ -232,14 +232,41 @@ def train_vocabulary(spark, sf):
     return spark.createDataFrame([(t,) for t in model.stages[-1].vocabulary], "term string")
 
 
-@query("M13 M20", f"SELECT count(*) AS n, true AS learned, true AS timed FROM ({_SETUP})")
+_BEST_LINE = f"""WITH s AS (SELECT x, 2 * y - 1 AS y FROM ({_SETUP})), c AS (SELECT count(*)::double AS n, 0.1 * var_samp(x) AS p,
+       -sum(CASE WHEN x = 0 THEN y ELSE 0 END) / count(*) AS g, -sum(CASE WHEN x = 1 THEN y ELSE 0 END) / count(*) AS h FROM s),
+   u AS (SELECT *, unnest([-1.0::double, 1.0]) AS e FROM c),
+   t AS (SELECT n, p, g, h, e AS a, greatest(-1, least(1, e - h / p)) AS b FROM u UNION ALL SELECT n, p, g, h, greatest(-1, least(1, e - g / p)), e FROM u)
+   SELECT any_value(n)::bigint AS n, round(min(1 + g * a + h * b + p / 2 * (b - a) ** 2), 6) AS least, true AS bounded FROM t"""
+
+
+@query("M13 M20", _BEST_LINE)
 def svm_invariants(spark, sf):
-    """A support vector machine scores every row and has a lower hinge loss than the zero vector; the fit took time."""
-    rows = _setup(spark, sf).select("features", "y")
-    _, scored, seconds = M.fit_and_score([M.linear_svm("y")], rows, rows)
-    margin = F.get(vector_to_array("rawPrediction"), F.lit(1)) * (2 * F.col("y") - 1)
-    out = scored.filter("prediction is not null").agg(F.count(F.lit(1)).alias("n"), (F.avg(F.greatest(F.lit(0.0), 1 - margin)) < 1.0).alias("learned"))
-    return out.withColumn("timed", F.lit(seconds > 0))
+    """On one 0/1 column the least objective of a support vector machine has a closed form, which must lie within the duality gap of the fitted one."""
+    rows = _setup(spark, sf).select("x", "features", F.col("y").alias("label"))
+    sign = 2 * F.col("label") - 1
+    with M.held(rows) as kept:
+        fitted, _, seconds = M.fit_and_score([M.linear_svm("label", rounds=10)], kept, kept)
+        found = C.svm_certificate(fitted.stages[0], kept, 0.1)
+        g, h, p = kept.agg(-F.avg((1 - F.col("x")) * sign), -F.avg(F.col("x") * sign), 0.1 * F.var_samp("x")).first()
+    inside = lambda v: max(-1.0, min(1.0, v))  # noqa: E731  # the scores of both values lie between the margins
+    scores = [(e, inside(e - h / p)) for e in (-1.0, 1.0)] + [(inside(e - g / p), e) for e in (-1.0, 1.0)]
+    least = min(1 + g * a + h * b + p / 2 * (b - a) ** 2 for a, b in scores)
+    bounded = found.objective - found.gap <= least + 1e-9 and least <= found.objective + 1e-9 and seconds > 0
+    return spark.createDataFrame([(found.n, round(least, 6), bounded)], "n long, least double, bounded boolean")
+
+
+@query(
+    "M5 M6",
+    f"""WITH k AS (SELECT x, count(*)::double AS n, avg(y) AS p FROM ({_SETUP}) GROUP BY 1)
+       SELECT sum(n)::bigint AS n, round(-sum(n * (CASE WHEN p > 0 THEN p * ln(p) ELSE 0 END + CASE WHEN p < 1 THEN (1 - p) * ln(1 - p) ELSE 0 END)) / sum(n), 6) AS objective,
+          round(abs(avg(0.0 * n)), 4) AS gradient FROM k""",
+)
+def logistic_certificate(spark, sf):
+    """On one 0/1 column the least log loss is the entropy of the label given the column, and there the gradient is zero."""
+    rows = _setup(spark, sf).select("features", F.col("y").alias("label"))
+    with M.held(rows) as kept:
+        found = C.logistic_certificate(_tight(M.logistic("label")).fit(kept), kept)
+    return spark.createDataFrame([(found.n, round(found.objective, 6), round(found.gradient, 4))], "n long, objective double, gradient double")
 
 
 _POSITIONS = """WITH x AS (SELECT label, (generate_subscripts(embedding, 1) - 1)::int AS p, unnest(embedding)::double AS v FROM embeddings),

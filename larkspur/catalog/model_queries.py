@@ -316,13 +316,13 @@ _CUTS = ", ".join(f"({k}, '{cut}')" for k, cuts in ((2, ("0111", "0011", "0001")
        best AS (SELECT k, arg_min(cut, cost) AS cut, min(cost) AS cost FROM (SELECT k, cut, sum(q - y * y / m) AS cost FROM s GROUP BY 1, 2) GROUP BY 1),
        d AS (SELECT a.k, x, n, a.c AS own, s.c, m, x * x + q / m - 2 * x * y / m AS far FROM best JOIN a USING (k, cut) JOIN s USING (k, cut)),
        z AS (SELECT k, x, any_value(n) AS n, max(CASE WHEN own = c THEN far * m / (m - 1) END) AS a, min(CASE WHEN own <> c THEN far END) AS b FROM d GROUP BY 1, 2)
-       SELECT k::int AS k, round(sum(n * (b - a) / greatest(a, b)) / sum(n), 4) AS silhouette, round(any_value(cost), 2) AS cost FROM z JOIN best USING (k) GROUP BY 1""",
+       SELECT k::int AS k, round(sum(n * (b - a) / greatest(a, b)) / sum(n), 7) AS silhouette, round(any_value(cost), 2) AS cost FROM z JOIN best USING (k) GROUP BY 1""",
 )
 def cluster_choice(spark, sf):
     """Two to four clusters of four values: the best partition, its cost and its silhouette for each number."""
     value = F.get(F.array(*[F.lit(float(x)) for x in (0, 10, 40, 100)]), F.col("l_linenumber") % 4)
     scores, _ = R.sweep_on_coreset(table(spark, sf, "lineitem").select(F.array(value).alias("point")), [2, 3, 4], F.col("point"))
-    return rounded(scores, "silhouette").select("k", F.round("silhouette", 4).alias("silhouette"), F.round("cost", 2).alias("cost"))
+    return scores.select("k", F.round("silhouette", 7).alias("silhouette"), F.round("cost", 2).alias("cost"))
 
 
 @query("A25 A28 M17")
