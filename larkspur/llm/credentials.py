@@ -39,6 +39,7 @@ OPAQUE = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "user", "endpoint", "opaque")
 STRONG = KINDS[:3]
 _IDENTIFIERS, _SECRETS = ("access", "user"), ("assign", "hex", "opaque")
+_BLOCK = 128  # matches of a text that are measured together
 _SPANS = "array<struct<at:int,kind:string,start:long,end:long>>"
 
 
@@ -48,7 +49,6 @@ def _matches(text: Column, pattern: str, kind: str, valued: bool = False, mixed:
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if valued else whole
     # zipped, so that each array is computed once and not again for every element
     pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("hit"), value.alias("value"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("out"))
 
     def step(held: Column, piece: Column) -> Column:
         first = held["at"] + F.length(piece["gap"])
@@ -62,7 +62,15 @@ def _matches(text: Column, pattern: str, kind: str, valued: bool = False, mixed:
         grown = F.when(keep, F.concat(held["out"], span)).otherwise(held["out"])
         return F.when(piece["hit"].isNull(), held).otherwise(F.struct(last.alias("at"), grown.alias("out")))
 
-    found = F.aggregate(pieces, start, step, lambda held: held["out"])
+    def block(held: Column, part: Column) -> Column:
+        """Spans of a few pieces, put into the list as one element: appending copies the list, so it must stay short."""
+        inside = F.struct(held["at"].alias("at"), F.array().cast(_SPANS).alias("out"))
+        return F.aggregate(part, inside, step, lambda done: F.struct(done["at"].alias("at"), F.concat(held["out"], F.array(done["out"])).alias("out")))
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{_SPANS}>").alias("out"))
+    cut = lambda p: F.transform(F.sequence(F.lit(0), F.size(p) - 1, F.lit(_BLOCK)), lambda i: F.slice(p, i + 1, F.lit(_BLOCK)))
+    # a lambda's variable is computed once, the expression it stands for would be computed for every block
+    found = F.get(F.transform(F.array(pieces), lambda p: F.aggregate(cut(p), start, block, lambda held: F.flatten(held["out"]))), F.lit(0))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPANS))
 
 

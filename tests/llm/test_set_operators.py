@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -207,6 +208,16 @@ def test_languages(spark):
     assert with_language(frame(spark, []), model).count() == 0
 
 
+def test_very_many_secrets_in_one_text(spark):
+    """Time is linear in the matches of a text: 100,000 of them take seconds, and every span is right."""
+    n, began = 100_000, time.time()
+    df = spark.createDataFrame([(1, "token=abcdefgh " * n), (2, "x token=abcdefgh")], "doc_id long, text string")
+    found = {r["doc_id"]: r["base"] for r in credentials.find_secrets(df).collect()}
+    assert [(s["kind"], s["start"], s["end"]) for s in found[1]] == [("assign", 15 * i, 15 * i + 14) for i in range(n)]
+    assert [(s["start"], s["end"]) for s in found[2]] == [(2, 16)]
+    assert time.time() - began < 60
+
+
 def plain_language(train, text, longest=5):
     """The scoring of the module in plain Python, on all labelled rows."""
     words = {lang: Counter(w for t, a in train if a == lang for w in re.findall(r"[^\W\d_]+", t.lower())) for lang in {a for _, a in train}}
