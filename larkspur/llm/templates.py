@@ -3,7 +3,8 @@
 Statements: ``{{ expression }}``, ``{% for x in list %}``, ``{% if %}``,
 ``{% elif %}``, ``{% else %}``, ``{% set x = expression %}`` and
 ``{% generation %}`` ... ``{% endgeneration %}``, whose output is marked.
-Expressions: string and number constants, names, ``a.key`` and ``a[key]`` on
+``-`` inside a tag's braces drops the white space of the text before or after
+it, and ``{# ... #}`` is a comment.  Expressions: string and number constants, names, ``a.key`` and ``a[key]`` on
 dicts and lists, ``+``, ``~``, ``==``, ``!=``, ``<``, ``>``, ``<=``, ``>=``,
 ``in``, ``and``, ``or``, ``not`` and ``| filter``.  There are no calls and no
 attribute access on objects, so a template reaches nothing but the values and
@@ -12,7 +13,8 @@ filters it is given.
 ``compile_template`` parses the text to a tree, folds constants (adjacent
 text, constant expressions, branches whose condition is constant) and turns
 each node into a closure.  Rendering returns the text and the marked spans as
-``(start, end)`` in code points.
+``(start, end)`` in code points.  Whatever goes wrong while a template is read
+or rendered is a ``TemplateError``.
 """
 
 from __future__ import annotations
@@ -82,7 +84,11 @@ class Marked:
     body: tuple
 
 
-_TAGS = re.compile(r"(\{\{.*?\}\}|\{%-?.*?-?%\})", re.S)
+_INSIDE = r"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|(?!-?{end}).)*"""  # braces inside strings end no tag
+_TAGS = re.compile(
+    rf"(?P<comment>\{{#.*?#\}})|\{{\{{(?P<left>-?)(?P<emit>{_INSIDE.replace('{end}', r'[}][}]')})(?P<right>-?)[}}][}}]"
+    rf"|\{{%(?P<before>-?)(?P<statement>{_INSIDE.replace('{end}', '%[}]')})(?P<after>-?)%[}}]", re.S
+)
 _TOKEN = re.compile(r"""\s*(?:(?P<text>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<sign>==|!=|<=|>=|[-+~<>|.()\[\]=]))""", re.S)
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
 _BINARY: dict[str, Callable[[Any, Any], Any]] = {
@@ -188,21 +194,45 @@ class _Expression:
         return tree
 
 
+def _parts(source: str) -> list[tuple[str, str]]:
+    """Texts, expressions and statements in order, with the white space that ``-`` takes away gone."""
+    out: list[tuple[str, str]] = []
+    end, trim = 0, False
+
+    def text(piece: str, trim_end: bool) -> None:
+        piece = piece.lstrip() if trim else piece
+        piece = piece.rstrip() if trim_end else piece
+        if piece:
+            if "{{" in piece or "{%" in piece:
+                raise TemplateError(f"a tag is not closed in {piece!r}")
+            out.append(("text", piece))
+
+    for tag in _TAGS.finditer(source):
+        text(source[end : tag.start()], bool(tag["left"] or tag["before"]))
+        end, trim = tag.end(), bool(tag["right"] or tag["after"])
+        if tag["emit"] is not None:
+            out.append(("emit", tag["emit"]))
+        elif tag["statement"] is not None:
+            out.append(("statement", tag["statement"].strip()))
+    text(source[end:], False)
+    return out
+
+
 def parse(source: str, filters: Filters) -> tuple:
     """The template's statements as a tree."""
-    parts = [p for p in _TAGS.split(source) if p]
+    parts = _parts(source)
 
     def block(at: int, ends: tuple[str, ...]) -> tuple[tuple, int, str]:
         out: list[Any] = []
         while at < len(parts):
-            part = parts[at]
+            kind, part = parts[at]
             at += 1
-            if part.startswith("{{"):
-                out.append(Emit(_Expression(part[2:-2], filters).whole()))
-            elif part.startswith("{%"):
-                word, _, rest = part[2:-2].strip("-").strip().partition(" ")
+            if kind == "emit":
+                out.append(Emit(_Expression(part, filters).whole()))
+            elif kind == "statement":
+                word, _, rest = part.partition(" ")
                 if word in ends:
-                    return tuple(out), at, part[2:-2].strip("-").strip()
+                    return tuple(out), at, part
                 if word == "for":
                     found = re.fullmatch(r"([A-Za-z_]\w*)\s+in\s+(.+)", rest.strip(), re.S)
                     if not found:
@@ -250,7 +280,10 @@ def fold_expression(tree: Any, filters: Filters) -> Any:
     if tree.name in ("and", "or") and isinstance(args[0], Const):
         return args[1] if bool(args[0].value) == (tree.name == "and") else args[0]
     if tree.name not in ("and", "or") and all(isinstance(a, Const) for a in args):
-        return Const(_run(tree.name, filters)(*(a.value for a in args)))
+        try:
+            return Const(_run(tree.name, filters)(*(a.value for a in args)))
+        except Exception as fault:
+            raise TemplateError(f"{tree.name} fails on {[a.value for a in args]}: {fault}") from fault
     if tree.name in ("+", "~") and isinstance(args[1], Const) and isinstance(args[0], Apply) and args[0].name == tree.name and isinstance(args[0].args[1], Const):
         inner = args[0].args  # (x + 'a') + 'b' is x + 'ab' when both are texts
         if isinstance(args[1].value, str) and isinstance(inner[1].value, str):
@@ -392,7 +425,12 @@ def compile_template(source: str, filters: Filters) -> Callable[..., tuple[str,
 
     def render(**values: Any) -> tuple[str, list[tuple[int, int]]]:
         out = _Output()
-        program(dict(values), out)
+        try:
+            program(dict(values), out)
+        except TemplateError:
+            raise
+        except Exception as fault:
+            raise TemplateError(f"rendering fails: {type(fault).__name__}: {fault}") from fault
         return "".join(out.parts), out.spans
 
     return render

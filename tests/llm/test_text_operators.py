@@ -215,6 +215,22 @@ def test_bad_templates(bad):
         compile_template(bad, {})
 
 
+@pytest.mark.parametrize(
+    "bad,values", [("{{ 'a' + 1 }}", {}), ("{{ 'a' < 1 }}", {}), ("{% for x in n %}{% endfor %}", {"n": 3}), ("{{ a + b }}", {"a": 1, "b": "x"}), ("{{ a | up }}", {"a": 1}), ("a {{ b", {}), ("{% if a", {})]
+)
+def test_every_fault_is_a_template_error(bad, values):
+    with pytest.raises(TemplateError):
+        compile_template(bad, {"up": str.upper})(**values)
+
+
+def test_white_space_comments_and_braces_in_strings():
+    show = lambda source, **values: compile_template(source, {})(**values)[0]
+    assert show("a  {%- if true -%}  b  {%- endif %} c") == "ab c"
+    assert show("a \n{{- ' x ' -}}\n b{# {{ no }} #}!") == "a x b!"
+    assert show("{{ '}}' + \"%}\" }}{% if x == '%}' %}y{% endif %}{{ '-' -}} z", x="%}") == "}}%}y-z"
+    assert show("{% for m in ms -%}\n  {{ m }}\n{%- endfor %}.", ms=[1, 2]) == "12."
+
+
 def test_templates_reach_no_objects():
     with pytest.raises(TemplateError):
         compile_template("{{ x.__class__ }}", {})(x=object())
