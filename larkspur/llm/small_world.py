@@ -5,9 +5,10 @@ of one vector share a node that carries its smallest ``k + 1`` ids, more than
 any answer can show.  A task builds the layered graph of a shard (insertion
 with a beam of ``ef_build``, diverse neighbour selection) and stores it as flat
 arrays: per layer the member nodes and a fixed-width neighbour table.  Queries
-travel in blocks of about ``block`` rows to every shard, so a task holds one
-graph and one block; the shards' answers are merged and ranked by
-exact distances of the original vectors.
+are packed into one row per block of about ``block`` and travel so to every
+shard; a task holds one graph and one block, and there are as many tasks as
+pairs of them.  The shards' answers are merged and ranked by exact distances of
+the original vectors.
 
 Defined cases: rows with a null id, a null vector, a null, NaN or infinite
 component or only zeros, and vectors of another length than the most frequent
@@ -29,6 +30,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from larkspur.llm.common import staged, usable_vector
 
 
+_MOST_TASKS = 100_000
+
+
 @dataclass
 class Graph:
     """Flat form: vectors, and per layer (bottom first) its nodes, each node's place in the layer, and a -1 padded neighbour table."""
@@ -197,27 +201,36 @@ def nearest(
         return pd.DataFrame({"shard": [group["shard"].iloc[0]], "graph": [graph.pack()], "ids": [np.concatenate(ids).tobytes()], "ends": [ends.tobytes()]})
 
     dealt = nodes.withColumns({"first": F.col("ids")[0], "shard": F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")})
-    graphs = staged(dealt.groupBy("shard").applyInPandas(build, "shard int, graph binary, ids binary, ends binary"), "graphs")
+    # dealt by number, so that small partitions are not put together into few long tasks
+    graphs = staged(dealt.repartition(min(shards, _MOST_TASKS), "shard").groupBy("shard").applyInPandas(build, "shard int, graph binary, ids binary, ends binary"), "graphs")
 
     queries = rows.filter(is_query)
     blocks = max(1, math.ceil(queries.count() / block))
-    sent = queries.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+
+    def bundle(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("id", kind="stable")
+        return pd.DataFrame({"block": [group["block"].iloc[0]], "asked": [group["id"].to_numpy("<i8").tobytes()], "points": [np.stack(group["v"].to_numpy()).astype("<f8").tobytes()]})
+
+    bundles = queries.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).groupBy("block").applyInPandas(bundle, "block long, asked binary, points binary")
+    sent = staged(bundles, "bundles").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     copies = graphs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
-    def search(points: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+    def search(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, float]] = []
-        if len(points) and len(stored):
+        if len(asked) and len(stored):
+            wanted = np.frombuffer(asked["asked"].iloc[0], "<i8")
+            points = np.frombuffer(asked["points"].iloc[0], "<f8").reshape(len(wanted), -1)
             graph = Graph.unpack(stored["graph"].iloc[0])
             norms = (graph.vectors * graph.vectors).sum(1)
             ids, ends = (np.frombuffer(stored[c].iloc[0], "<i8") for c in ("ids", "ends"))
-            for query, point in zip(points["id"].tolist(), points["v"]):
+            for query, point in zip(wanted.tolist(), points):
                 for node in search_graph(graph, point, k + 1, ef, norms):
                     score = float(np.sqrt(((graph.vectors[node] - point) ** 2).sum()))
                     out += [(query, x, score) for x in ids[ends[node - 1] if node else 0 : ends[node]].tolist()]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    key = ["shard", "block"]
-    found = sent.groupBy(*key).cogroup(copies.groupBy(*key)).applyInPandas(search, "query_id long, vec_id long, score double")
+    key, tasks = ["shard", "block"], min(shards * blocks, _MOST_TASKS)
+    found = sent.repartition(tasks, *key).groupBy(*key).cogroup(copies.repartition(tasks, *key).groupBy(*key)).applyInPandas(search, "query_id long, vec_id long, score double")
     found = found.filter("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
