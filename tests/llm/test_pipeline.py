@@ -95,7 +95,7 @@ def test_odd_documents(spark, empty):
     ]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     clash = [F.col("source").alias(c) for c in ("h", "row", "component_id", "score", "lang_pred", "length", "ids", "piece_", "n")]
-    docs = spark.createDataFrame([] if empty else rows, schema).select("*", *clash)
+    docs = spark.createDataFrame([] if empty else rows, schema).select("*", *clash, F.create_map(F.lit("a"), "n_chars").alias("unordered"))
     columns, kept = docs.columns, []
     for name, stage in corpus_pipeline.STAGES[:3]:
         docs = staged(stage(spark, docs, FOLDER), name)
