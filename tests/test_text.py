@@ -91,3 +91,22 @@ def test_top_terms_break_ties_by_term(spark):
 def test_joined_text_skips_nulls(spark):
     df = spark.createDataFrame([("a", None, "c")], "x string, y string, z string")
     assert df.select(T.join_text("x", "y", "z")).first()[0] == "a c"
+
+
+def test_frequent_lookup_equals_join(spark, rows):
+    from larkspur.operators.lookups import frequent_lookup
+
+    used = spark.createDataFrame([(i, f"t{i % 40 % (1 + i % 13)}") for i in range(400)] + [(0, None)], "doc long, term string")
+    lookup = used.filter("term is not null").groupBy("term").count().filter("term <> 't1'")
+    for most in (0, 3, 8, 100):
+        assert rows(frequent_lookup(used, lookup, "term", "count", most), "doc", "term", "count") == rows(used.join(lookup, "term"), "doc", "term", "count")
+
+
+def test_documents_are_counted_once(spark, tmp_path):
+    from larkspur.catalog.text_queries import lemma_counts
+
+    docs = spark.createDataFrame([(i, "cats cat runs run " * (i + 1)) for i in range(6)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for found in (T.tf_idf(docs, "doc_id", T.space_tokens("text")), lemma_counts(spark, str(tmp_path))):
+        assert "Generate explode(filter" not in found._jdf.queryExecution().optimizedPlan().toString()  # the tokens of no text are taken apart again
+    assert {(r["lemma"], r["n"], r["forms"]) for r in lemma_counts(spark, str(tmp_path)).collect()} == {("cat", 42, 2), ("run", 42, 2)}
