@@ -2,8 +2,8 @@
 
 A fitted tree is a table of at most ``2 ** depth`` nodes.  Each row finds its
 node level by level with look-ups in that table, and partitions add up one
-histogram per (node, feature, bin) and statistic, so two passes over the rows
-(one for the bins, one for the histograms) audit all nodes of all depths at
+histogram per (node, feature, bin) and statistic, so a few passes over the rows
+(up to three for the bins, one for the histograms) audit all nodes of all depths at
 once.  From the histograms follow the gain of every candidate split of every
 node, the gain of the split the tree has, and the shortfall between the two.
 
@@ -61,19 +61,21 @@ def _usable(df: DataFrame, features: Sequence[str], label: Column) -> DataFrame:
 
 
 def bin_ends(rows: DataFrame, n_features: int, nodes: Sequence[Node], max_bins: int) -> list[np.ndarray]:
-    """Sorted last values of the bins of each feature, the last one open; one pass."""
+    """Sorted last values of the bins of each feature, the last one open; quantiles are taken of features with many values alone."""
     values = [F.slice(F.sort_array(F.collect_set(F.when(F.col("r") == i, F.col("v")))), 1, max_bins + 1).alias(f"s{i}") for i in range(n_features)]
-    few = rows.agg(*[F.approx_count_distinct(f"x{i}", 0.02).alias(f"n{i}") for i in range(n_features)], *[F.percentile_approx(f"x{i}", [j / max_bins for j in range(1, max_bins)], 10_000).alias(f"q{i}") for i in range(n_features)]).first()
+    few = rows.agg(*[F.approx_count_distinct(f"x{i}", 0.02).alias(f"n{i}") for i in range(n_features)]).first()
     short = [i for i in range(n_features) if few[f"n{i}"] <= 1.2 * max_bins]
     exact: dict[int, list[float]] = {}
     if short:
         long = rows.select(F.explode(F.array(*[F.struct(F.lit(i).alias("r"), F.col(f"x{i}").alias("v")) for i in short])).alias("e")).select("e.*")
         found = long.distinct().agg(*[values[i] for i in short]).first()  # about max_bins values of each of these features
         exact = {i: list(found[f"s{i}"]) for i in short if len(found[f"s{i}"]) <= max_bins}
+    many = [i for i in range(n_features) if i not in exact]
+    quantiles = rows.agg(*[F.percentile_approx(f"x{i}", [j / max_bins for j in range(1, max_bins)], 10_000).alias(f"q{i}") for i in many]).first() if many else None
     ends = []
     for i in range(n_features):
         own = [n.threshold for n in nodes if n.feature == i]
-        ends.append(np.array(exact[i][:-1] if i in exact else sorted({*few[f"q{i}"], *own}), "f8"))
+        ends.append(np.array(exact[i][:-1] if i in exact else sorted({*(quantiles[f"q{i}"] or ()), *own}), "f8"))
     return ends
 
 

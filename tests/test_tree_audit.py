@@ -92,3 +92,11 @@ def test_odd_rows(spark):
     assert audit_tree(model, more, NAMES, "kind", "gini", 3) == audit_tree(model, df, NAMES, "kind", "gini", 3)
     leaf = M.decision_tree("kind", depth=2).fit(df.filter("kind = 0"))
     assert tree_nodes(leaf) == [Node(0, -1, 0.0, 0.0)] and audit_tree(leaf, df, NAMES, "kind", "gini", 3) == []
+
+
+def test_no_quantiles_of_few_values(spark, monkeypatch):
+    from larkspur.plans import tree_audit as module
+
+    monkeypatch.setattr(module.F, "percentile_approx", lambda *a: 1 / 0)
+    rows = spark.createDataFrame([(float(i % 5), float(i % 9)) for i in range(90)], "x0 double, x1 double")
+    assert [list(e) for e in module.bin_ends(rows, 2, [], 16)] == [[0.0, 1.0, 2.0, 3.0], [float(i) for i in range(8)]]
