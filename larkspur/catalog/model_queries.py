@@ -116,8 +116,13 @@ def _lines(spark, sf):
 
 
 def _texts(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", T.clean_text("text").alias("text"), "lang")
-    return rows.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
+    rows = table(spark, sf, "documents").select("doc_id", "text", "lang").join(table(spark, sf, "labels"), "doc_id")
+    return rows.withColumns({"text": T.clean_text("text"), "label": F.col("quality").cast("double")})  # texts without labels are not cleaned
+
+
+def _counted(texts, counting, *cols):
+    """Texts through stages that need no fit, written once: each later pass reads term counts, not texts."""
+    return written(Pipeline(stages=counting).fit(texts).transform(texts).select("doc_id", *cols, "counts"), "counted")
 
 
 def _text_model(spark, sf, name, stages):
@@ -170,11 +175,12 @@ def text_comparison(spark, sf):
 @query("M7 T11")
 def text_language(spark, sf):
     """Four-class logistic regression on word vectors and on hashed term weights."""
-    rows = _texts(spark, sf).drop("label")
+    *counting, weights = G.tf_idf_stages("text", buckets=1000)
+    rows = _counted(_texts(spark, sf), counting, "lang", "tokens")
     train, test = X.hash_split(rows, "doc_id")
     index = G.indexer("lang", "label")
-    vectors = [index, G.tokeniser("text"), G.word_vectors("tokens", "features", 25, 2, parts=G.training_parts(train)), M.logistic("label", rounds=20)]
-    hashed = [index, *G.tf_idf_stages("text", buckets=1000), M.logistic("label", rounds=20)]
+    vectors = [index, G.word_vectors("tokens", "features", 25, 2, parts=G.training_parts(train)), M.logistic("label", rounds=20)]
+    hashed = [index, weights, M.logistic("label", rounds=20)]
     scores = []
     for name, stages in (("word vectors", vectors), ("term weights", hashed)):
         _, scored, _ = M.fit_and_score(stages, train, test)
