@@ -375,6 +375,7 @@ SELECT vocabulary::int AS vocabulary, smoothing, sum(support)::bigint AS n, roun
 @query("M14 M22 M23 T7 T8 T15", _GRID_SQL)
 def validation_split(spark, sf):
     """Vocabulary size and smoothing of naive Bayes by one train/validation split, every setting from one table of counts."""
-    tokens = T.without_stop_words(T.space_tokens("text"), T.default_stop_words())
+    words = F.filter(F.split("text", " "), lambda t: t != "")  # cleaned texts are lower case with single spaces
+    tokens = T.without_stop_words(words, T.default_stop_words())
     rows = _texts(spark, sf).select("doc_id", F.col("quality").alias("label"), tokens.alias("tokens"))
     return rounded(B.validate_bayes(rows, "doc_id", "label", "tokens", [200, 1000, 5000], [0.5, 1.0, 2.0]), "accuracy", "f1")

@@ -33,7 +33,9 @@ from larkspur.session import written
 
 
 def _usable(df: DataFrame, doc: str, label: str, tokens: str) -> DataFrame:
-    return df.select(F.col(doc).alias("doc"), F.col(label).alias("label"), F.col(tokens).alias("tokens")).filter(F.col("label").isNotNull() & F.col("tokens").isNotNull())
+    """Rows with label and tokens, written once: tokens are made a single time, and filtered after that, lest the filter make them too."""
+    rows = written(df.select(F.col(doc).alias("doc"), F.col(label).alias("label"), F.col(tokens).alias("tokens")), "documents")
+    return rows.filter(F.col("label").isNotNull() & F.col("tokens").isNotNull())
 
 
 def class_sizes(df: DataFrame, label: str) -> list[tuple[object, int]]:
@@ -43,10 +45,12 @@ def class_sizes(df: DataFrame, label: str) -> list[tuple[object, int]]:
 
 def class_term_counts(df: DataFrame, label: str, tokens: str, classes: Sequence[object]) -> DataFrame:
     """``(term, uses, df, in_class)``: tokens and documents of each term, and its tokens in each class."""
-    used = df.select(F.col(label).alias("label"), F.explode(tokens).alias("term"), F.lit(0).alias("first"))
-    once = df.select(F.col(label).alias("label"), F.explode(F.array_distinct(tokens)).alias("term"), F.lit(1).alias("first"))
-    in_class = [F.count_if((F.col("first") == 0) & (F.col("label") == F.lit(c))) for c in classes]
-    return used.unionByName(once).groupBy("term").agg(F.count_if(F.col("first") == 0).alias("uses"), F.count_if(F.col("first") == 1).alias("df"), F.array(*in_class).alias("in_class"))
+    # sorted, a term's uses in a document follow each other, so its first one counts the document: tokens are read once
+    listed = df.select(F.col(label).alias("label"), F.array_sort(tokens).alias("sorted"))
+    first = lambda t, i: (i == 0) | ~t.eqNullSafe(F.get("sorted", i - 1))
+    used = listed.select("label", F.inline(F.transform("sorted", lambda t, i: F.struct(t.alias("term"), first(t, i).alias("first")))))
+    in_class = [F.count_if(F.col("label") == F.lit(c)) for c in classes]
+    return used.groupBy("term").agg(F.count("*").alias("uses"), F.count_if("first").alias("df"), F.array(*in_class).alias("in_class"))
 
 
 def _ranked_terms(df: DataFrame, label: str, tokens: str, sizes: Sequence[tuple[object, int]], min_df: int) -> DataFrame:

@@ -35,3 +35,18 @@ def test_language_cleans_once(spark, tables, monkeypatch):
     found = {r["model"]: r["accuracy"] for r in Q.text_language(spark, tables).collect()}
     assert set(found) == {"word vectors", "term weights"} and found["term weights"] == 1
     assert made.value == 40
+
+
+def test_grid_makes_tokens_once(spark):
+    split, made = counting(spark, "array<string>", str.split)
+    df = spark.createDataFrame([(i, i % 2, f"{'x' if i % 2 else 'y'} z{i % 4} z{i % 4}") for i in range(80)], "id long, label int, text string")
+    found = B.validate_bayes(df.select("id", "label", split("text").alias("tokens")), "id", "label", "tokens", [2, 50], [1.0]).collect()
+    assert {(r["vocabulary"], r["accuracy"]) for r in found} >= {(50, 1.0)}
+    assert made.value == 80
+
+
+def test_class_term_counts(spark, rows):
+    data = [("a", ["x", "y", "x", None, "x"]), ("b", ["y", None, None]), ("b", []), ("a", ["x"])]
+    df = spark.createDataFrame(data, "label string, tokens array<string>")
+    found = B.class_term_counts(df, "label", "tokens", ["a", "b"])
+    assert rows(found) == sorted([("x", 4, 2, [4, 0]), ("y", 2, 2, [1, 1]), (None, 3, 2, [1, 2])], key=repr)
