@@ -125,8 +125,8 @@ def _counted(texts, counting, *cols):
     return written(Pipeline(stages=counting).fit(texts).transform(texts).select("doc_id", *cols, "counts"), "counted")
 
 
-def _text_model(spark, sf, name, stages):
-    train, test = X.hash_split(_texts(spark, sf), "doc_id")
+def _text_model(spark, rows, name, stages):
+    train, test = X.hash_split(rows, "doc_id")
     _, scored, seconds = M.fit_and_score(stages, train, test)
     with M.held(scored.select("label", "prediction", *[c for c in ("rawPrediction",) if c in scored.columns])) as kept:
         row = E.overall_metrics(kept).first().asDict()
@@ -135,9 +135,10 @@ def _text_model(spark, sf, name, stages):
 
 
 def _vector_models(spark, sf, *models):
-    """Metrics of several models on the same hashed term weights: texts are cleaned and weighted once per part."""
-    train, test = X.hash_split(_texts(spark, sf), "doc_id")
-    prepared = Pipeline(stages=G.tf_idf_stages("text", buckets=1 << 18)).fit(train)
+    """Metrics of several models on the same hashed term weights: texts are cleaned and counted once."""
+    *counting, weights = G.tf_idf_stages("text", buckets=1 << 18)
+    train, test = X.hash_split(_counted(_texts(spark, sf), counting, "label"), "doc_id")
+    prepared = weights.fit(train)
     ready = lambda part: prepared.transform(part).select("label", "features")
     rows = []
     with M.held(ready(train)) as fitted, M.held(ready(test)) as judged:
@@ -169,7 +170,8 @@ def text_comparison(spark, sf):
     """Naive Bayes on term counts against logistic regression, with fit times."""
     bayes = [*G.tf_idf_stages("text", vocabulary=10_000, words_only=True), M.naive_bayes("label")]
     logit = [*G.tf_idf_stages("text", vocabulary=10_000, words_only=True), M.logistic("label", rounds=10)]
-    return E.comparison([_text_model(spark, sf, "bayes", bayes), _text_model(spark, sf, "logistic", logit)])
+    rows = written(_texts(spark, sf), "texts")
+    return E.comparison([_text_model(spark, rows, "bayes", bayes), _text_model(spark, rows, "logistic", logit)])
 
 
 @query("M7 T11")

@@ -50,3 +50,11 @@ def test_class_term_counts(spark, rows):
     df = spark.createDataFrame(data, "label string, tokens array<string>")
     found = B.class_term_counts(df, "label", "tokens", ["a", "b"])
     assert rows(found) == sorted([("x", 4, 2, [4, 0]), ("y", 2, 2, [1, 1]), (None, 3, 2, [1, 2])], key=repr)
+
+
+def test_vector_models_clean_once(spark, tables, monkeypatch):
+    clean, made = counting(spark, "string", str.lower)
+    monkeypatch.setattr(Q.T, "clean_text", clean)
+    found = Q._vector_models(spark, tables, ("logistic", Q.M.logistic("label", rounds=5)), ("svm", Q.M.linear_svm("label", rounds=5))).collect()
+    assert [r["model"] for r in found] == ["logistic", "svm"] and found[0]["accuracy"] == 1
+    assert made.value == 40
